@@ -1,6 +1,5 @@
 """Session settings and lineage cuts."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,25 +23,16 @@ def build_session(app: str = "ringwatch", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
-_local_roots: dict[str, str] = {}
-
-
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables.
 
-    Only a local session may fall back to a temporary folder: on a cluster the
-    executors would not see it, so there the setting is required.
+    ``spark.checkpoint.dir`` names it. Where that is unset the session's warehouse
+    folder is used, which all executors share as well; never a temporary folder.
     """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
-    if root:
-        return root.rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="ringwatch-")
-    return _local_roots[app]
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return root.rstrip("/")
 
 
 class Scratch:
