@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import exact, langid, mixing
+from ringwatch.llm import exact, langid, mixing, simhash
 from ringwatch.session import Scratch
 
 #: A language is rejected below this posterior probability.
@@ -22,6 +22,11 @@ def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return exact.drop_exact_duplicates(docs)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose fingerprints of 4-word shingles link at 4 bits."""
+    return simhash.drop_near_duplicates(docs, shingle=4, bits=4)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, in training order."""
     return mixing.mixed_documents(docs)
@@ -30,6 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language", identify_language),
     ("exact_dedup", drop_exact_duplicates),
+    ("simhash_dedup", drop_near_duplicates),
     ("mixture", mix_sources),
 ]
 

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import exact, langid, mixing, shards, warc
+from ringwatch.llm import exact, langid, mixing, shards, simhash, warc
 from ringwatch.llm.common import single_spaced, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,8 +44,14 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_warc, op5_language, op6_shards, op7_exact_dedup, op8_mixture)
+    f.__name__: f
+    for f in (op1_warc, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
