@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import exact, langid, mixing, shards, simhash, warc
+from ringwatch.llm import exact, langid, mixing, shards, simhash, topk, warc
 from ringwatch.llm.common import single_spaced, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.identify(table(spark, sf_dir, "documents"))
     return found.select(
@@ -51,7 +55,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
+    for f in (op1_warc, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
@@ -70,6 +74,21 @@ SQL = {
                CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f
     """,
+    "op4_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+    """,
     "op7_exact_dedup": rf"""
         WITH n AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g')) AS h
