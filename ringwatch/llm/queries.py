@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import exact, langid, mixing, shards, simhash, topk, warc
+from ringwatch.llm import exact, htmltext, langid, mixing, shards, simhash, topk, warc
 from ringwatch.llm.common import single_spaced, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return htmltext.extract_pages(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
@@ -55,7 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
+    for f in (op1_warc, op3_main_text, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
