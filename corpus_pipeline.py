@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringwatch.llm import exact, langid, mixing, simhash
+from ringwatch.llm.queries import tokenised
 from ringwatch.session import Scratch
 
 #: A language is rejected below this posterior probability.
@@ -32,11 +33,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SentencePiece ids of every whole text, and the text decoded from them."""
+    return tokenised(docs)
+
+
 STAGES = [
     ("language", identify_language),
     ("exact_dedup", drop_exact_duplicates),
     ("simhash_dedup", drop_near_duplicates),
     ("mixture", mix_sources),
+    ("pieces", encode_pieces),
 ]
 
 #: Language identification and tokenisation cannot be said in SQL.

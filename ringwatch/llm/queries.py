@@ -5,12 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import exact, htmltext, langid, mixing, shards, simhash, topk, warc
+from ringwatch.llm import exact, htmltext, langid, mixing, pieces, shards, simhash, topk, warc
 from ringwatch.llm.common import single_spaced, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+#: A public SentencePiece model, at the same path on every executor.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +20,19 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenised(table(spark, sf_dir, "documents"))
+
+
+def tokenised(docs: DataFrame, model_file: str = PIECE_MODEL) -> DataFrame:
+    """Ids of every whole text, their number, and the text they decode to."""
+    found = pieces.encode(docs, model_file)
+    return found.select(
+        "doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("bigint").alias("n_tokens"), "token_ids",
+        pieces.decode(F.col("token_ids"), model_file).alias("decoded"),
+    )
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return htmltext.extract_pages(pages).select("page_id", "url", "text", "n_chars")
@@ -60,7 +75,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op3_main_text, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
+    for f in (op1_warc, op2_pieces, op3_main_text, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
