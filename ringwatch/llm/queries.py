@@ -5,12 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.llm import exact, htmltext, langid, mixing, pieces, shards, simhash, topk, warc
+from ringwatch.llm import exact, htmltext, langid, mixing, pieces, pii, shards, simhash, topk, warc
 from ringwatch.llm.common import single_spaced, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+#: Of the query only; a user gives a key of their own.
+PSEUDONYM_KEY = "key of the test tables"
 #: A public SentencePiece model, at the same path on every executor.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -68,6 +70,11 @@ def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PSEUDONYM_KEY)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, bits=4)
     return found.select("doc_id", "fingerprint", "component_id")
@@ -75,7 +82,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc, op2_pieces, op3_main_text, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op10_simhash)
+    for f in (op1_warc, op2_pieces, op3_main_text, op4_topk, op5_language, op6_shards, op7_exact_dedup, op8_mixture, op9_pseudonyms, op10_simhash)
 }
 
 _SPACES = r"[\x20\x09-\x0D]+"
