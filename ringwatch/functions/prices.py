@@ -22,6 +22,8 @@ def is_body_pump(open_: Column, close: Column, pct: float = DEFAULTS.body_pct) -
 
 
 def poll_change_pct(price: Column, previous: Column) -> Column:
+    """0 where the previous price is not a positive number; NaN prices give null."""
+    price, previous = number(price), number(previous)
     return F.when(previous > 0, (price - previous) / previous * 100).otherwise(F.lit(0.0))
 
 

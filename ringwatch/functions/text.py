@@ -8,15 +8,13 @@ SKIP_WORDS = [
     "THE", "FOR", "AND", "NOT", "YOU", "WITH", "ARE", "THIS",
     "WILL", "NEXT", "FROM", "JUST", "HAVE", "THAT", "BEEN",
 ]
-MAX_MENTIONS = 3
-MAX_TOKENS = 5
-MAX_NAME = 30
 USER_PREFIX = "tw_"
 DEFAULT_TARGET = "crypto_community"
 
 # Unicode white space plus the four ASCII separators.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
-_TICKER = r"^(?=.*\p{IsUppercase})[^\p{IsLowercase}\p{Lt}]{2,8}$"
+_SHORTEST, _LONGEST = 2, 8
+_TICKER = r"^(?=.*\p{IsUppercase})[^\p{IsLowercase}\p{Lt}]+$"
 
 
 def _words(text: Column) -> Column:
@@ -29,28 +27,41 @@ def at_mentions(text: Column) -> Column:
     return F.transform(hits, lambda w: F.substr(w, F.lit(2)))
 
 
-def token_mentions(text: Column) -> Column:
-    """Up to five distinct ticker-like words, in order of first appearance.
+def first_of(values: Column, limit: int | None) -> Column:
+    """The first ``limit`` elements, all of them without a limit."""
+    return values if limit is None else F.slice(values, 1, limit)
+
+
+def _tickers(text: Column) -> Column:
+    letters = F.regexp_replace(F.upper(text), r"(?U)[^\p{L}\s\x1c-\x1f]+", "")
+    fits = lambda w: F.length(w).between(_SHORTEST, _LONGEST)
+    # The length decides for most words before any pattern is tried.
+    return F.filter(_words(letters), lambda w: fits(w) & w.rlike(_TICKER) & ~w.isin(SKIP_WORDS))
+
+
+def token_mentions(text: Column, limit: int | None = None) -> Column:
+    """Distinct ticker-like words, in order of first appearance.
 
     A ticker is a word whose letters alone number two to eight, with an upper-case
     and no lower- or title-case letter after upper-casing, and is not a skip word.
     """
-    letters = F.regexp_replace(F.upper(text), r"(?U)[^\p{L}\s\x1c-\x1f]+", "")
-    tickers = F.filter(_words(letters), lambda w: w.rlike(_TICKER) & ~w.isin(SKIP_WORDS))
-    return F.slice(F.array_distinct(tickers), 1, MAX_TOKENS)
+    return first_of(F.array_distinct(_tickers(text)), limit)
+
+
+def first_token(text: Column) -> Column:
+    """The first ticker-like word, null without one."""
+    return F.get(_tickers(text), F.lit(0))
 
 
-def mention_targets(text: Column) -> Column:
-    """The first three mentions, or the community account when there is none."""
-    mentions = F.coalesce(at_mentions(text), F.array().cast("array<string>"))
-    return F.when(F.size(mentions) > 0, F.slice(mentions, 1, MAX_MENTIONS)).otherwise(
-        F.array(F.lit(DEFAULT_TARGET))
-    )
+def targets(mentions: Column, limit: int | None = None) -> Column:
+    """The mentioned names, or the community account when there is none."""
+    named = F.size(F.coalesce(mentions, F.array().cast("array<string>"))) > 0
+    return F.when(named, first_of(mentions, limit)).otherwise(F.array(F.lit(DEFAULT_TARGET)))
 
 
-def short_name(name: Column) -> Column:
-    """Truncate to thirty characters, then prefix."""
-    return F.concat(F.lit(USER_PREFIX), F.substring(name, 1, MAX_NAME))
+def account(name: Column, limit: int | None = None) -> Column:
+    """The prefixed name, cut to ``limit`` characters before that if there is a limit."""
+    return F.concat(F.lit(USER_PREFIX), name if limit is None else F.substring(name, 1, limit))
 
 
 def token_symbol(token: Column) -> Column:

@@ -13,6 +13,9 @@ from ringwatch.schemas import ALERT, CONFIRMED
 from ringwatch.session import Scratch, scratch_for
 
 
+BATCH = "_batch"
+
+
 @dataclass(frozen=True)
 class Detection:
     """Results of one detection run: a row per batch, and the alerts."""
@@ -85,7 +88,7 @@ def all_alerts(
 def detect(
     events: DataFrame,
     keys: list[str],
-    seq: list[str] | None = None,
+    seq: list[str],
     params: Params = DEFAULTS,
     detected_at: Column | None = None,
     rings: bool = True,
@@ -94,14 +97,21 @@ def detect(
     """The whole pipeline over any number of batches.
 
     The events are read twice, once for the batch summary and once for the
-    distinct links; the detectors work on the links alone.
+    distinct links; the detectors work on the links alone. The keys travel as one
+    struct, whose null fields compare as equal, so a batch with a null key is a batch
+    like any other. Links, alerts and scores are written down where they are used
+    more than once; the rounds of the ring detector need them as tables.
     """
     scratch = scratch_for(events, scratch)
-    links = scratch.cut(compact_links(interaction_edges(events, keys, seq), keys), "links")
-    found = detect_stars(links, keys, params.star_min_degree, params.star_ratio)
+    batch = [BATCH]
+    events = events.withColumn(BATCH, F.struct(*keys))
+    links = scratch.cut(compact_links(interaction_edges(events, batch, seq), batch), "links")
+    found = detect_stars(links, batch, params.star_min_degree, params.star_ratio)
     if rings:
-        dense = detect_rings(links, keys, params.ring_min_size, params.ring_density, scratch=scratch)
+        dense = detect_rings(links, batch, params.ring_min_size, params.ring_density, scratch=scratch)
         found = found.unionByName(dense, allowMissingColumns=True)
     found = scratch.cut(found, "found")
-    scored = scratch.cut(score_batches(batch_summary(events, keys), found, keys, params), "scored")
-    return Detection(scored, all_alerts(found, scored, keys, detected_at, params))
+    scored = scratch.cut(score_batches(batch_summary(events, batch), found, batch, params), "scored")
+    scored = scored.select(f"{BATCH}.*", "*")
+    alerts = all_alerts(found, scored, batch, detected_at, params)
+    return Detection(scored.drop(BATCH), alerts.select(f"{BATCH}.*", *ALERT.fieldNames()))

@@ -8,13 +8,12 @@ from ringwatch.schemas import STAR
 from ringwatch.sources.events import social
 
 
-def interaction_edges(events: DataFrame, keys: list[str], seq: list[str] | None = None) -> DataFrame:
+def interaction_edges(events: DataFrame, keys: list[str], seq: list[str]) -> DataFrame:
     """Directed edges with both users present; self-loops and repeats stay.
 
-    ``seq`` names the columns of arrival order. One plain column is best: its
-    minimum is hash-aggregated, that of several columns is sorted.
+    ``seq`` names the columns of arrival order, which must be a total one. One plain
+    column is best: its minimum is hash-aggregated, that of several columns is sorted.
     """
-    seq = seq or ["timestamp"]
     order = F.col(seq[0]) if len(seq) == 1 else F.struct(*seq)
     present = (F.length("source_user") > 0) & (F.length("target_user") > 0)
     return (

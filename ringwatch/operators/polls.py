@@ -14,24 +14,33 @@ def poll_changes(
     token: str = "token",
     order: str = "poll_ts",
     price: str = "price_usd",
+    ties: list[str] | None = None,
 ) -> DataFrame:
     """Adds the previous price, the change in percent and the spike flag.
 
     The first poll of a token is compared with itself; a price of 0 is
     remembered. A token's polls are cut into blocks of time; each block takes the
     last price of the block before it, so a busy token spreads over many tasks.
+    Polls without a token are one token of their own, those without a time come
+    first. ``ties`` orders polls of the same time, by price if not given.
     """
-    known = polls.withColumn(price, F.coalesce(F.col(price), F.lit(0.0))).withColumn(
-        "_block", order_block(order, polls.schema)
+    ties = ties or [price]
+    # Structs compare null fields as equal, so null tokens and times join as well.
+    known = polls.withColumn(price, F.coalesce(F.col(price), F.lit(0.0))).select(
+        "*",
+        F.struct(F.col(token).alias("token")).alias("_token"),
+        F.struct(order_block(order, polls.schema).alias("block")).alias("_block"),
     )
-    last = known.groupBy(token, "_block").agg(F.max_by(price, order).alias("_last"))
-    blocks = Window.partitionBy(token).orderBy("_block")
-    carried = last.select(token, "_block", F.lag("_last").over(blocks).alias("_carried"))
-    inside = Window.partitionBy(token, "_block").orderBy(order)
+    last = known.groupBy("_token", "_block").agg(
+        F.max_by(price, F.struct(order, *ties)).alias("_last")
+    )
+    blocks = Window.partitionBy("_token").orderBy("_block")
+    carried = last.select("_token", "_block", F.lag("_last").over(blocks).alias("_carried"))
+    inside = Window.partitionBy("_token", "_block").orderBy(order, *ties)
     previous = F.coalesce(F.lag(price).over(inside), F.col("_carried"), F.col(price))
     change = poll_change_pct(F.col(price), F.col("previous_price"))
     return (
-        known.join(carried, [token, "_block"])
+        known.join(carried, ["_token", "_block"])
         .withColumn("previous_price", previous)
         .select(
             *polls.columns,

@@ -44,22 +44,23 @@ def running_quality(outcomes: DataFrame, order: str, epoch: str | None = None) -
 
     A new ``epoch`` value starts the counters again. The running sum is taken in
     blocks of the order column plus the total of the blocks before, so only one
-    row per block meets in a single window.
+    row per block meets in a single window. Batches without an order value come first.
     """
     group = [epoch] if epoch else []
     names = [*_COUNTS, "total_batches"]
-    flagged = outcomes.select("*", order_block(order, outcomes.schema).alias("_block"), *_flags())
+    block = F.struct(order_block(order, outcomes.schema).alias("at"), *group).alias("_block")
+    flagged = outcomes.select("*", block, *_flags())
     totals = flagged.groupBy(*group, "_block").agg(*[F.sum(n).alias(n) for n in names])
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(
-        *group, "_block", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in names]
+        "_block", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in names]
     )
     inside = (
         Window.partitionBy(*group, "_block")
         .orderBy(order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = flagged.join(carried, [*group, "_block"]).select(
+    running = flagged.join(carried, "_block").select(
         *outcomes.columns, *[(F.sum(n).over(inside) + F.col(f"_{n}")).alias(n) for n in names]
     )
     return with_scores(running)

@@ -5,9 +5,8 @@ from pyspark.sql import functions as F
 
 from ringwatch.schemas import CONFIRMED
 
-# Fixed values of the reports.
+# Fixed values of the reports: lengths of the lists that are cut by design.
 LATEST = 300
-TABLE_ROWS = 50
 TOP_TOKENS = 10
 DEFAULT_SEVERITIES = ("CRITICAL", "HIGH")
 DISPLAY = [
@@ -21,13 +20,13 @@ def _newest(ties: list[str]):
 
 
 def latest_alerts(alerts: DataFrame, ties: list[str], n: int = LATEST) -> DataFrame:
-    """The newest ``n`` alerts; ``ties`` completes the order."""
+    """The list of the newest ``n`` alerts; ``ties`` completes the order."""
     return alerts.orderBy(*_newest(ties)).limit(n)
 
 
-def alert_kpis(latest: DataFrame) -> DataFrame:
-    """Totals of the latest alerts, all 0 when there are none."""
-    return latest.agg(
+def alert_kpis(alerts: DataFrame) -> DataFrame:
+    """Totals over all alerts, 0 when there are none."""
+    return alerts.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("severity") == "CRITICAL").alias("critical"),
         F.count_if(F.col("severity") == "HIGH").alias("high"),
@@ -35,29 +34,29 @@ def alert_kpis(latest: DataFrame) -> DataFrame:
     )
 
 
-def alerts_timeline(latest: DataFrame) -> DataFrame:
+def alerts_timeline(alerts: DataFrame) -> DataFrame:
     """Alerts per minute and type; rows without a readable time are dropped."""
     at = F.col("detected_at")
-    if dict(latest.dtypes)["detected_at"] == "string":
+    if dict(alerts.dtypes)["detected_at"] == "string":
         at = F.try_to_timestamp(at)
-    timed = latest.withColumn("detected_at", at).filter(F.col("detected_at").isNotNull())
+    timed = alerts.withColumn("detected_at", at).filter(F.col("detected_at").isNotNull())
     minute = F.window("detected_at", "1 minute")
     return timed.groupBy(minute.alias("w"), "alert_type").agg(F.count(F.lit(1)).alias("count")).select(
         F.col("w.start").alias("detected_at"), "alert_type", "count"
     )
 
 
-def alerts_by_type(latest: DataFrame) -> DataFrame:
+def alerts_by_type(alerts: DataFrame) -> DataFrame:
     return (
-        latest.groupBy("alert_type")
+        alerts.groupBy("alert_type")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy(F.desc("count"), "alert_type")
     )
 
 
-def top_tokens(latest: DataFrame, n: int = TOP_TOKENS) -> DataFrame:
+def top_tokens(alerts: DataFrame, n: int = TOP_TOKENS) -> DataFrame:
     """The tokens named in most alerts; equal counts in name order."""
-    tokens = latest.select(F.explode("pumping_tokens").alias("token")).filter(F.length("token") > 0)
+    tokens = alerts.select(F.explode("pumping_tokens").alias("token")).filter(F.length("token") > 0)
     return (
         tokens.groupBy("token")
         .agg(F.count(F.lit(1)).alias("alert_count"))
@@ -81,12 +80,12 @@ def display_columns(alerts: DataFrame) -> DataFrame:
 
 
 def alert_table(
-    latest: DataFrame,
+    alerts: DataFrame,
     ties: list[str],
     severities: list[str] | None = DEFAULT_SEVERITIES,
     types: list[str] | None = None,
-    n: int = TABLE_ROWS,
+    n: int | None = None,
 ) -> DataFrame:
-    """The first ``n`` of the latest alerts that pass the filters, newest first."""
-    kept = filter_alerts(latest, severities, types)
-    return display_columns(kept.orderBy(*_newest(ties)).limit(n))
+    """The alerts that pass the filters, newest first; with ``n`` the first so many of them."""
+    kept = filter_alerts(alerts, severities, types).orderBy(*_newest(ties))
+    return display_columns(kept if n is None else kept.limit(n))

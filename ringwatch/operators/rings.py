@@ -18,7 +18,7 @@ from ringwatch.schemas import RING
 from ringwatch.session import Scratch, scratch_for
 
 # Fixed values of the ring alert.
-MAX_NODES = 20
+SHOWN_NODES = 20
 CRITICAL_DENSITY = 0.8
 
 
@@ -97,18 +97,22 @@ def first_independent_set(
     return reduce(DataFrame.unionByName, chosen)
 
 
-def ring_members(seeds: DataFrame, pairs: DataFrame, keys: list[str], limit: int = MAX_NODES) -> DataFrame:
-    """The first ``limit`` members of each seed's ego network in name order.
-
-    The limit is applied by rank before the shuffle, so a task never gathers more
-    than the members that are shown.
-    """
+def ring_members(seeds: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame:
+    """Every member of each seed's ego network, the seed included: one row each."""
     a, b = F.col("a"), F.col("b")
     proper = pairs.filter(a != b)
     neighbours = both_ends(proper, keys, ("member", b, a)).join(
         seeds.select(*keys, "node"), [*keys, "node"], "left_semi"
     )
-    members = neighbours.unionByName(seeds.select(*keys, "node", F.col("node").alias("member")))
+    return neighbours.unionByName(seeds.select(*keys, "node", F.col("node").alias("member")))
+
+
+def shown_members(members: DataFrame, keys: list[str], limit: int = SHOWN_NODES) -> DataFrame:
+    """The list of the first ``limit`` members in name order, for display.
+
+    The limit is applied by rank before the shuffle, so a task never gathers more
+    than the members that are shown; ``ring_members`` has them all.
+    """
     by_name = Window.partitionBy(*keys, "node").orderBy("member")
     shown = members.withColumn("_i", F.row_number().over(by_name)).filter(F.col("_i") <= limit)
     return shown.groupBy(*keys, "node").agg(F.array_sort(F.collect_list("member")).alias("nodes"))
@@ -121,6 +125,7 @@ def detect_rings(
     density: float = DEFAULTS.ring_density,
     split: int = SPLIT,
     scratch: Scratch | None = None,
+    shown: int = SHOWN_NODES,
 ) -> DataFrame:
     """Ring alerts from ``compact_links``; seeds in first-come order suppress their neighbours."""
     scratch = scratch_for(links, scratch)
@@ -130,7 +135,8 @@ def detect_rings(
     seeds = first_independent_set(ranked, pairs, keys, scratch)
     alerts = egos.join(seeds, [*keys, "node"], "left_semi")
     severity = F.when(F.col("density") > CRITICAL_DENSITY, "CRITICAL").otherwise("HIGH")
-    return alerts.join(ring_members(seeds, pairs, keys), [*keys, "node"]).select(
+    shown_names = shown_members(ring_members(seeds, pairs, keys), keys, shown)
+    return alerts.join(shown_names, [*keys, "node"]).select(
         *keys,
         F.lit(RING).alias("alert_type"),
         severity.alias("severity"),

@@ -84,6 +84,15 @@ def ring_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ring_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All members of the rings of ``ring_alerts``, one row each."""
+    links = _links(spark, sf_dir, "week")
+    found = rings.detect_rings(links, ["week"], **WEEKLY_RINGS)
+    seeds = found.select("week", F.col("seed_node").alias("node"))
+    members = rings.ring_members(seeds, graph.undirected_edges(links, ["week"]), ["week"])
+    return members.select(_text("week"), F.col("node").alias("seed_node"), "member")
+
+
 def batch_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = B.batch_summary(adapters.market_events(spark, sf_dir), ["day"])
     return _summary_form(summary, _text("day"))
@@ -266,34 +275,34 @@ def tweet_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _latest(spark, sf_dir):
-    return reports.latest_alerts(_detection(spark, sf_dir).alerts, TIES)
+def _alerts(spark, sf_dir):
+    return _detection(spark, sf_dir).alerts
 
 
 def latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alert_form(_latest(spark, sf_dir))
+    return _alert_form(reports.latest_alerts(_alerts(spark, sf_dir), TIES))
 
 
 def alert_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.alert_kpis(_latest(spark, sf_dir))
+    return reports.alert_kpis(_alerts(spark, sf_dir))
 
 
 def alerts_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.alerts_by_type(_latest(spark, sf_dir))
+    return reports.alerts_by_type(_alerts(spark, sf_dir))
 
 
 def alerts_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = reports.alerts_timeline(_latest(spark, sf_dir))
+    found = reports.alerts_timeline(_alerts(spark, sf_dir))
     minute = F.date_format("detected_at", "yyyy-MM-dd HH:mm:ss").alias("detected_at")
     return found.select(minute, "alert_type", "count")
 
 
 def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_tokens(_latest(spark, sf_dir))
+    return reports.top_tokens(_alerts(spark, sf_dir))
 
 
 def alert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alert_form(reports.alert_table(_latest(spark, sf_dir), TIES))
+    return _alert_form(reports.alert_table(_alerts(spark, sf_dir), TIES))
 
 
 def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,7 +317,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         decode_route_events, interaction_edges, degrees, undirected_edges, star_hubs, ego_density,
-        ring_alerts, batch_summary, tumbling_summary, batch_confidence, alerts_enriched, batch_status,
+        ring_alerts, ring_members, batch_summary, tumbling_summary, batch_confidence, alerts_enriched, batch_status,
         outcomes, running_quality, quality_snapshot, stored_snapshot, quality_epochs,
         candles_body_pump, ohlcv_headers_symbols, poll_spikes, snapshot_flatten, topic_records,
         tweet_mentions, tweet_tokens, tweet_edges, latest_alerts, alert_kpis, alerts_by_type,

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from ringwatch.functions.text import file_coin
 
-SHOWN_COINS = 8
-
 
 def per_file(rows: DataFrame) -> DataFrame:
     """Rows and bytes of each file of a file-based DataFrame."""
@@ -32,9 +30,9 @@ def csv_stats(spark: SparkSession, paths: list[str], dataset: str) -> DataFrame:
     return dataset_stats(per_file(spark.read.text(paths)), dataset, header_lines=1)
 
 
-def shown_coins(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Labels of the first eight price files."""
-    names = [(i, p.rsplit("/", 1)[-1]) for i, p in enumerate(paths[:SHOWN_COINS])]
+def coin_labels(spark: SparkSession, paths: list[str], n: int | None = None) -> DataFrame:
+    """Labels of the price files in order, the first ``n`` if given."""
+    names = [(i, p.rsplit("/", 1)[-1]) for i, p in enumerate(paths[:n])]
     return spark.createDataFrame(names, "position int, file string").select(
         "position", file_coin(F.col("file")).alias("coin")
     )

@@ -5,7 +5,7 @@ import logging
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.functions.text import mention_targets, short_name, token_mentions
+from ringwatch.functions.text import account, at_mentions, first_token, targets
 from ringwatch.schemas import SOCIAL_EVENT
 from ringwatch.sources.csvfiles import merge, read_csv_files
 
@@ -64,23 +64,36 @@ def read_tweets(spark: SparkSession, paths: list[str], now: Column | None = None
     return merge(posts) if posts else None
 
 
-def tweets_to_interactions(posts: DataFrame) -> DataFrame:
-    """One event per mentioned user, at most three, or one to the community account."""
+def tweets_to_interactions(
+    posts: DataFrame, max_mentions: int | None = None, max_name: int | None = None
+) -> DataFrame:
+    """One event per mentioned user, or one to the community account.
+
+    Every mention counts and names are whole; ``max_mentions`` and ``max_name`` cut
+    them to the first so many mentions of a post and characters of a name.
+    """
     others = [c for c in posts.columns if c not in ("user", "text", "date")]
+    named = posts.select(
+        *others,
+        "user",
+        "date",
+        first_token(F.col("text")).alias("token"),
+        at_mentions(F.col("text")).alias("_mentions"),
+    )
     return (
-        posts.select(
+        named.select(
             *others,
             "user",
             "date",
-            F.get(token_mentions(F.col("text")), F.lit(0)).alias("token"),
-            F.posexplode(mention_targets(F.col("text"))).alias("position", "target"),
+            "token",
+            F.posexplode(targets(F.col("_mentions"), max_mentions)).alias("position", "target"),
         )
         .select(
             *others,
             "position",
             F.lit(SOCIAL_EVENT).alias("event_type"),
-            short_name(F.col("user")).alias("source_user"),
-            short_name(F.col("target")).alias("target_user"),
+            account(F.col("user"), max_name).alias("source_user"),
+            account(F.col("target"), max_name).alias("target_user"),
             F.lit(INTERACTION).alias("interaction_type"),
             F.col("token").alias("token_mentioned"),
             F.col("date").alias("timestamp"),
