@@ -32,8 +32,10 @@ CHUNK = 1 << 14
 #: Chunks whose matrices one task multiplies; groups of a document are scanned by one
 #: task, at most 2^31 / (CHUNK * GROUP) of them, as a string holds less than 2^31 bytes.
 GROUP = 64
-#: Texts encoded by one call of the library.
-BATCH_CHARS = 1 << 21
+#: Characters encoded, and ids decoded, by one call of the library. Its lists of
+#: Python integers take many times the memory of the arrays that are kept.
+BATCH_CHARS = 1 << 18
+BATCH_IDS = 1 << 17
 #: Remembered answers about neighbouring pieces.
 MEMORY = 1 << 21
 
@@ -268,8 +270,8 @@ def _unpack(states, scores) -> Matrix:
 # As Spark jobs
 
 
-def _encode_texts(pieces: Pieces, texts: list[str | None]) -> list[list[int] | None]:
-    result: list[list[int] | None] = [None] * len(texts)
+def _encode_texts(pieces: Pieces, texts: list[str | None]) -> list[np.ndarray | None]:
+    result: list[np.ndarray | None] = [None] * len(texts)
     group, size = [], 0
     for i, text in enumerate([*texts, None]):
         if i < len(texts) and text is not None:
@@ -278,7 +280,22 @@ def _encode_texts(pieces: Pieces, texts: list[str | None]) -> list[list[int] | N
         if group and (size >= BATCH_CHARS or i == len(texts)):
             found = pieces.processor.encode([texts[j] for j in group], num_threads=1)
             for j, ids in zip(group, found):
-                result[j] = ids
+                result[j] = np.array(ids, dtype=np.int32)
+            group, size = [], 0
+    return result
+
+
+def _decode_ids(processor, lists: list[np.ndarray | None]) -> list[str | None]:
+    result: list[str | None] = [None] * len(lists)
+    group, size = [], 0
+    for i, ids in enumerate([*lists, None]):
+        if i < len(lists) and ids is not None:
+            group.append(i)
+            size += len(ids)
+        if group and (size >= BATCH_IDS or i == len(lists)):
+            found = processor.decode([lists[j].tolist() for j in group], num_threads=1)
+            for j, text in zip(group, found):
+                result[j] = text
             group, size = [], 0
     return result
 
@@ -425,10 +442,6 @@ def decode(token_ids: Column, model_file: str) -> Column:
     def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         processor = load(model_file).processor
         for batch in batches:
-            known = batch.notna()
-            found = processor.decode([x.tolist() for x in batch[known]], num_threads=1) if known.any() else []
-            result = pd.Series([None] * len(batch), index=batch.index, dtype=object)
-            result[known] = found
-            yield result
+            yield pd.Series(_decode_ids(processor, batch.tolist()), index=batch.index, dtype=object)
 
     return texts(token_ids)
