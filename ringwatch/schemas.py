@@ -42,32 +42,6 @@ EVENT = _struct(
     source=StringType(),
 )
 
-SOCIAL = _struct(
-    event_type=StringType(),
-    source_user=StringType(),
-    target_user=StringType(),
-    interaction_type=StringType(),
-    token_mentioned=StringType(),
-    timestamp=StringType(),
-    is_bot=BooleanType(),
-    pump_signal=BooleanType(),
-    source=StringType(),
-)
-
-PRICE = _struct(
-    event_type=StringType(),
-    symbol=StringType(),
-    close=DoubleType(),
-    price_usd=DoubleType(),
-    volume=DoubleType(),
-    volume_24h_usd=DoubleType(),
-    change_since_last_poll_pct=DoubleType(),
-    change_24h_pct=DoubleType(),
-    pumping=BooleanType(),
-    timestamp=StringType(),
-    source=StringType(),
-)
-
 # Alert columns after the batch keys.
 ALERT = _struct(
     alert_type=StringType(),
@@ -88,6 +62,15 @@ ALERT = _struct(
     social_alerts=LongType(),
 )
 
+# One row per batch, from which the running metrics are computed.
+OUTCOME = _struct(
+    ground_truth=BooleanType(),
+    detected=BooleanType(),
+    outcome=StringType(),
+    persisted=BooleanType(),
+    status=StringType(),
+)
+
 # One market snapshot document: token id -> quote.
 SNAPSHOT = MapType(
     StringType(),

@@ -1,17 +1,35 @@
-"""Durable tables, written so that a repeated batch replaces itself."""
+"""Durable tables of the detection stream, written so that a repeated batch replaces itself."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+#: Batches whose folders share a parent, so that no folder lists more than these.
+BLOCK = 1000
 
-def write_batch(df: DataFrame, path: str, batch: str = "batch_id") -> None:
-    """Replace the batches present in ``df``; the others stay as they are."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(batch)
-        .parquet(path)
-    )
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Replace what the table holds of one batch, also by nothing.
 
-def read_table(spark: SparkSession, path: str, columns, batch: str = "batch_id") -> DataFrame:
-    return spark.read.schema(columns).parquet(path)
+    A batch is a folder of its own that is overwritten whole, so a repeated batch
+    leaves no row of an earlier attempt, even when it has no rows any more.
+    """
+    folder = f"{path.rstrip('/')}/block={batch_id // BLOCK}/batch_id={batch_id}"
+    df.drop("batch_id", "block").write.mode("overwrite").parquet(folder)
+
+
+def _located(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    places = [T.StructField("block", T.LongType()), T.StructField("batch_id", T.LongType())]
+    fields = [f for f in columns if f.name not in ("block", "batch_id")]
+    return spark.read.schema(T.StructType([*fields, *places])).parquet(path)
+
+
+def read_table(spark: SparkSession, path: str, columns: T.StructType) -> DataFrame:
+    """All batches of the table, with their ``batch_id``."""
+    return _located(spark, path, columns).drop("block")
+
+
+def read_batch(spark: SparkSession, path: str, columns: T.StructType, batch_id: int) -> DataFrame:
+    """One batch; only its folder is read."""
+    place = (F.col("block") == batch_id // BLOCK) & (F.col("batch_id") == batch_id)
+    return _located(spark, path, columns).filter(place).drop("block")

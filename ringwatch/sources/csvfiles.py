@@ -5,7 +5,8 @@ import logging
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,37 +17,33 @@ MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
+BAD_LINE = "_bad_line"
 
 
-def _path(spark: SparkSession, name: str):
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def list_inputs(spark: SparkSession, folder: str, single: str | None = None) -> list[str]:
+    """The folder's ``*.csv`` files in name order, else the one merged file, else none.
 
+    Files without a byte are not listed, as Spark reads nothing from them.
+    """
 
-def list_inputs(spark: SparkSession, folder: str, single: str | None = None) -> list[str]:
-    """The folder's ``*.csv`` files in name order, else the one merged file, else none."""
-    path, fs = _path(spark, f"{folder.rstrip('/')}/*.csv")
-    found = sorted(s.getPath().toString() for s in fs.globStatus(path) or [] if s.isFile())
-    if not found and single:
-        path, fs = _path(spark, single)
-        found = [fs.getFileStatus(path).getPath().toString()] if fs.exists(path) else []
-    return found
-
-
-def header(spark: SparkSession, name: str) -> list[str]:
-    """The cells of a file's first line; nothing more of the file is read here."""
-    jvm = spark.sparkContext._jvm
-    path, fs = _path(spark, name)
-    reader = jvm.java.io.BufferedReader(
-        jvm.java.io.InputStreamReader(fs.open(path), jvm.java.nio.charset.StandardCharsets.UTF_8)
+    def names(path: str, **options: str) -> list[str]:
+        try:
+            found = spark.read.format("binaryFile").options(**options).load(path).select("path")
+            return sorted(r.path for r in found.toLocalIterator())
+        except AnalysisException:
+            return []
+
+    return names(folder, pathGlobFilter="*.csv") or (names(single) if single else [])
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """First line of each file, by path. A Spark job over the first blocks of the files."""
+    lines = spark.read.text(paths).filter(F.col("_metadata.file_block_start") == 0)
+    placed = lines.select(
+        F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at")
     )
-    try:
-        line = reader.readLine()
-    finally:
-        reader.close()
-    if not line:
-        raise ValueError("no header")
-    return next(csv.reader([line.removeprefix("﻿")]))
+    first = placed.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return {r.path: r.line for r in first.toLocalIterator()}
 
 
 def unique(names: list[str]) -> list[str]:
@@ -59,66 +56,74 @@ def unique(names: list[str]) -> list[str]:
     return result
 
 
-def _spanning(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files in which a quoted cell may run over a line end.
-
-    Without a line of an odd number of quotes there is none, and the file can be
-    split among tasks; the others are read whole to keep their records whole.
-    """
-    lines = spark.read.text(paths)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return {row.path for row in odd.toLocalIterator()}
-
-
-def _uri(name: str) -> str:
-    return name.split(":", 1)[-1].lstrip("/") if name.startswith("file:") else name
-
-
 def read_csv_files(
-    spark: SparkSession, paths: list[str], rename: Callable[[str], str], drop_malformed: bool = False
+    spark: SparkSession,
+    paths: list[str],
+    rename: Callable[[str], str],
+    drop_malformed: bool = False,
+    multiline: bool = False,
 ) -> list[DataFrame]:
-    """One DataFrame of text columns per distinct header, with ``_file`` and ``_row``.
+    """One DataFrame of text columns per distinct header, with ``_file`` and its ``_place``.
 
-    Files with an unreadable header are skipped with a warning. The work on the
-    driver grows with the number of files, never with their rows.
+    Files without a header line are skipped with a warning. Only names and headers
+    reach the driver. ``multiline`` is for files whose quoted cells may hold line
+    ends: such files are read one by one, the others are split among tasks.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
-    for name in paths:
-        try:
-            columns = tuple(unique([rename(c) for c in header(spark, name)]))
-        except Exception as error:  # any unreadable file is skipped
-            log.warning("skipping %s: %s", name, error)
+    found = headers(spark, paths) if paths else {}
+    for name, line in sorted(found.items()):
+        cells = next(csv.reader([(line or "").removeprefix("﻿")]), [])
+        if not any(cells):
+            log.warning("skipping %s: no header", name)
             continue
-        groups.setdefault(columns, []).append(name)
-    frames = []
-    for columns, names in groups.items():
-        whole = {_uri(p) for p in _spanning(spark, names)}
-        for multiline in (False, True):
-            part = [n for n in names if (_uri(n) in whole) == multiline]
-            if part:
-                frames.append(_read(spark, part, columns, multiline, drop_malformed))
-    return frames
+        groups.setdefault(tuple(unique([rename(c) for c in cells])), []).append(name)
+    return [_read(spark, names, columns, multiline, drop_malformed) for columns, names in groups.items()]
 
 
 def _read(spark, paths, columns, multiline, drop_malformed) -> DataFrame:
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    """``drop_malformed`` drops lines of another number of cells than the header has.
+
+    The reader keeps such a line's text in a column of its own, and as long as that
+    column is asked for it parses every line whole, whatever else is selected.
+    """
+    fields = [T.StructField(c, T.StringType()) for c in columns]
+    if drop_malformed:
+        fields.append(T.StructField(BAD_LINE, T.StringType()))
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType(fields))
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
-        .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_LINE)
     )
     df = reader.csv(paths)
+    if drop_malformed:
+        # Spark refuses to read that column alone, so the test names a cell as well.
+        never = F.length(F.col(f"`{columns[0]}`")) < 0
+        df = df.filter(F.when(F.col(BAD_LINE).isNull(), F.lit(True)).otherwise(never))
     cells = []
     for name in columns:
         cell = F.col(f"`{name}`")
         text = F.replace(cell, F.lit("�"), F.lit("")) if drop_malformed else cell
         cells.append(F.when(~cell.isin(MISSING), text).alias(name))
-    place = F.xxhash64("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id())
-    return df.select(*cells, F.col("_metadata.file_name").alias("_file"), F.hex(place).alias("_row"))
+    place = F.struct(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    return df.select(*cells, F.col("_metadata.file_name").alias("_file"), place.alias("_place"))
+
+
+def row_name(df: DataFrame) -> Column:
+    """A name for each row by where it stands: file, block, and number within the block.
+
+    It does not depend on which files and blocks are read by the same task.
+    """
+    block = Window.partitionBy("_place.path", "_place.block")
+    number = F.col("_place.at") - F.min("_place.at").over(block)
+    return F.concat_ws(":", F.col("_file"), F.col("_place.block").cast("string"), number.cast("string"))
 
 
 def merge(frames: list[DataFrame]) -> DataFrame:

@@ -33,7 +33,7 @@ def aliases(columns: list[str]) -> dict[str, list[str]]:
     return roles
 
 
-def _resolve(df: DataFrame) -> DataFrame:
+def resolve(df: DataFrame) -> DataFrame:
     """One file group under the canonical names, its symbol resolved.
 
     Each group is resolved by its own header, so merged files with different
@@ -50,7 +50,7 @@ def _resolve(df: DataFrame) -> DataFrame:
 
 def read_ohlcv(spark: SparkSession, paths: list[str]) -> DataFrame | None:
     """Candles as text under canonical names, or None when no file is readable."""
-    frames = [_resolve(df) for df in read_csv_files(spark, paths, column_name)]
+    frames = [resolve(df) for df in read_csv_files(spark, paths, column_name)]
     return merge(frames) if frames else None
 
 

@@ -26,8 +26,16 @@ def dataset_stats(files: DataFrame, dataset: str, header_lines: int = 0) -> Data
 
 
 def csv_stats(spark: SparkSession, paths: list[str], dataset: str) -> DataFrame:
-    """Statistics of CSV files; rows are the lines after the header, as plain text."""
-    return dataset_stats(per_file(spark.read.text(paths)), dataset, header_lines=1)
+    """Statistics of CSV files; rows are the lines after the header, as plain text.
+
+    Files are counted from the listing, so one with nothing but a header counts as well.
+    """
+    listed = spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("bytes"))
+    lines = per_file(spark.read.text(paths)).select("path", "rows")
+    # Both name files as URIs, one with and one without an empty authority.
+    plain = lambda df: df.withColumn("path", F.regexp_replace("path", "^file:/+", "/"))
+    files = plain(listed).join(plain(lines), "path", "left")
+    return dataset_stats(files.withColumn("rows", F.greatest(F.col("rows"), F.lit(1))).fillna({"rows": 1}), dataset, 1)
 
 
 def coin_labels(spark: SparkSession, paths: list[str], n: int | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.functions.text import account, at_mentions, first_token, targets
 from ringwatch.schemas import SOCIAL_EVENT
-from ringwatch.sources.csvfiles import merge, read_csv_files
+from ringwatch.sources.csvfiles import merge, read_csv_files, row_name
 
 log = logging.getLogger(__name__)
 
@@ -15,27 +15,26 @@ log = logging.getLogger(__name__)
 SOURCE = "kaggle_tweets"
 INTERACTION = "tweet_mention"
 
+# Per role the rules in order of preference. A column fits a rule if its
+# name contains all parts of one of the alternatives.
+ROLE_RULES = {
+    "user": [[("user", "name")], [("username",), ("author",)], [("user",)]],
+    "text": [[("text",), ("tweet",), ("content",)]],
+    "date": [[("date",), ("time",), ("created",)]],
+}
+
 
 def column_name(name: str) -> str:
     return name.lower().strip()
 
 
 def infer_roles(columns: list[str]) -> dict[str, str | None]:
-    """The user, text and date columns, guessed from their names."""
-
-    def first(test):
-        return next((c for c in columns if test(c)), None)
-
-    user = (
-        first(lambda c: "user" in c and "name" in c)
-        or first(lambda c: "username" in c or "author" in c)
-        or first(lambda c: "user" in c)
-    )
-    return {
-        "user": user,
-        "text": first(lambda c: "text" in c or "tweet" in c or "content" in c),
-        "date": first(lambda c: "date" in c or "time" in c or "created" in c),
-    }
+    """The first column of each role's first rule that fits any column."""
+    found: dict[str, str | None] = {}
+    for role, rules in ROLE_RULES.items():
+        fitting = (c for rule in rules for c in columns if any(all(p in c for p in parts) for parts in rule))
+        found[role] = next(fitting, None)
+    return found
 
 
 def with_roles(df: DataFrame, row_id: Column, now: Column | None = None) -> DataFrame | None:
@@ -57,9 +56,12 @@ def with_roles(df: DataFrame, row_id: Column, now: Column | None = None) -> Data
 
 
 def read_tweets(spark: SparkSession, paths: list[str], now: Column | None = None) -> DataFrame | None:
-    """Posts of all files with a text column; malformed lines are dropped."""
-    groups = read_csv_files(spark, paths, column_name, drop_malformed=True)
-    posts = [with_roles(df, F.col("_row"), now) for df in groups]
+    """Posts of all files with a text column; malformed lines are dropped.
+
+    Texts may run over line ends, so every file is read by one task.
+    """
+    groups = read_csv_files(spark, paths, column_name, drop_malformed=True, multiline=True)
+    posts = [with_roles(df, row_name(df), now) for df in groups]
     posts = [p for p in posts if p is not None]
     return merge(posts) if posts else None
 
