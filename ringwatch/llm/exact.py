@@ -5,7 +5,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import single_spaced
+from ringwatch.llm.common import kept_rows, row_keys, single_spaced
 from ringwatch.session import Scratch, scratch_for
 
 PREFIX_CHARS = 128
@@ -91,8 +91,10 @@ def exact_duplicates(
     )
 
 
-def drop_exact_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def drop_exact_duplicates(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None
+) -> DataFrame:
     """``docs`` with one row of each class, all its columns unchanged."""
-    carry = {f"_carry{i}": F.col(f"`{name}`") for i, name in enumerate(docs.columns)}
-    found = exact_duplicates(docs, text, id_col, carry).filter("kept")
-    return found.select(*[F.col(f"_carry{i}").alias(name) for i, name in enumerate(docs.columns)])
+    scratch = scratch_for(docs, scratch)
+    carry = dict(zip(("_key", "_more"), row_keys(docs)))
+    return kept_rows(docs, exact_duplicates(docs, text, id_col, carry, scratch), scratch)

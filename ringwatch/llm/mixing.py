@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ringwatch.llm.common import word_count
+from ringwatch.llm.common import free_name, row_keys, word_count
 from ringwatch.session import Scratch, scratch_for
 
 
@@ -71,7 +71,7 @@ def _rank(sources: DataFrame, scratch: Scratch) -> DataFrame:
     starts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     inside = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     return ordered.select("*", part).join(starts, "_part").select(
-        "_key", "_source", "source_size", (F.col("_start") + inside).alias("_rank")
+        "_source_key", "_source", "source_size", (F.col("_start") + inside).alias("_rank")
     )
 
 
@@ -108,7 +108,7 @@ def _walk(docs, curriculum, ratio, most, text, id_col, source, carry, scratch) -
     name = F.col(source).cast("string")
     sized = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.concat(F.lit("="), name), F.lit("")).alias("_key"),
+        F.coalesce(F.concat(F.lit("="), name), F.lit("")).alias("_source_key"),
         word_count(F.col(text)).alias("size"),
         F.coalesce(F.md5(F.col(id_col).cast("bigint").cast("string")), F.lit("")).alias("_order"),
         *[expression.alias(n) for n, expression in (carry or {}).items()],
@@ -118,10 +118,10 @@ def _walk(docs, curriculum, ratio, most, text, id_col, source, carry, scratch) -
     high = F.coalesce(F.conv(F.substring("_order", 1, 8), 16, 10).cast("bigint"), F.lit(0))
     sized = sized.withColumn("_block", F.shiftright(high * F.lit(blocks), 32))
 
-    totals = sized.groupBy("_key", "_block").agg(F.sum("size").alias("_words"))
+    totals = sized.groupBy("_source_key", "_block").agg(F.sum("size").alias("_words"))
     totals = scratch.cut(totals, "totals")
-    sources = totals.groupBy("_key").agg(F.sum("_words").alias("source_size"))
-    sources = sources.withColumn("_source", F.when(F.col("_key") != "", F.substr("_key", F.lit(2))))
+    sources = totals.groupBy("_source_key").agg(F.sum("_words").alias("source_size"))
+    sources = sources.withColumn("_source", F.when(F.col("_source_key") != "", F.substr("_source_key", F.lit(2))))
     turn = F.pmod("_rank", F.lit(len(curriculum)))
     shares = F.element_at(F.array(*[F.lit(s.share) for s in curriculum]), (turn + 1).cast("int"))
     ranked = _rank(sources, scratch).select("*", turn.alias("_turn"), shares.alias("_share"))
@@ -129,17 +129,17 @@ def _walk(docs, curriculum, ratio, most, text, id_col, source, carry, scratch) -
     budget = ratio * (ranked.agg(F.sum("source_size")).first()[0] or 0)
     targets = fill_targets(ranked, budget, most, scratch)
 
-    before = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_source_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
-        "_key", "_block", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_start")
-    ).join(targets.select("_key", "source_size", "target", "_turn"), "_key")
+        "_source_key", "_block", F.coalesce(F.sum("_words").over(before), F.lit(0)).alias("_start")
+    ).join(targets.select("_source_key", "source_size", "target", "_turn"), "_source_key")
     inside = (
-        Window.partitionBy("_key", "_block")
+        Window.partitionBy("_source_key", "_block")
         .orderBy("_order", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     walked = sized.withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    walked = walked.join(scratch.cut(starts, "starts"), ["_key", "_block"])
+    walked = walked.join(scratch.cut(starts, "starts"), ["_source_key", "_block"])
 
     wanted = F.floor(F.col("target") + 0.5).cast("bigint")
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("_wanted") / F.col("source_size"))).otherwise(0)
@@ -221,15 +221,27 @@ def mixed_documents(
     A pass that stops inside a document keeps it whole if it takes at least half of
     its words, and else leaves it out. Documents without words are never taken. All
     columns of ``docs`` are returned unchanged. For the other cases see ``mix``.
+
+    The order is worked out on keys alone; the documents then move twice, to their
+    passes and to their place.
     """
-    carry = {f"_carry{i}": F.col(f"`{name}`") for i, name in enumerate(docs.columns)}
     scratch = scratch_for(docs, scratch)
+    carry = dict(zip(("_key", "_more"), row_keys(docs)))
     walked = _walk(docs, curriculum, ratio, most, text, id_col, source, carry, scratch)
+    walked = scratch.cut(walked.drop("_start", "_inside", "_order", "_block", "_source_key"), "walked")
     times = F.floor(F.col("taken") / F.nullif(F.col("size"), F.lit(0)) + 0.5).cast("int")
     counted = walked.filter("taken > 0").withColumn("_times", times).filter("_times > 0")
     passes = counted.select("*", F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias("_pass"))
     words_before = F.col("_before") + F.col("_pass") * F.col("source_size")
-    placed = passes.withColumn("_at", _position(curriculum, words_before))
-    return placed.repartitionByRange("_at", "doc_id").sortWithinPartitions("_at", "doc_id").select(
-        *[F.col(f"_carry{i}").alias(name) for i, name in enumerate(docs.columns)]
+    names = [free_name(docs, n) for n in ("_key", "_more")]
+    at, by = free_name(docs, "_at"), free_name(docs, "_by")
+    placed = passes.select(
+        F.col("_key").alias(names[0]), F.col("_more").alias(names[1]),
+        _position(curriculum, words_before).alias(at), F.col("doc_id").alias(by),
     )
+    marked = docs.withColumns(dict(zip(names, row_keys(docs))))
+    if not walked.groupBy("_key", "_more").count().filter("count > 1").isEmpty():
+        # Rows that are equal throughout: each of their passes takes any one of them.
+        marked = marked.dropDuplicates(names)
+    ordered = marked.join(placed, names).repartitionByRange(at, by).sortWithinPartitions(at, by)
+    return ordered.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -9,6 +9,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.llm.common import kept_rows, row_keys
 from ringwatch.llm.components import components
 from ringwatch.session import Scratch, scratch_for
 
@@ -212,8 +213,16 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4, **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    shingle: int = 4,
+    bits: int = 4,
+    text: str = "text",
+    id_col: str = "doc_id",
+    scratch: Scratch | None = None,
+) -> DataFrame:
     """``docs`` with one row of each component, all its columns unchanged."""
-    carry = {f"_carry{i}": F.col(f"`{name}`") for i, name in enumerate(docs.columns)}
-    found = near_duplicates(docs, shingle, bits, carry=carry, **options).filter("kept")
-    return found.select(*[F.col(f"_carry{i}").alias(name) for i, name in enumerate(docs.columns)])
+    scratch = scratch_for(docs, scratch)
+    carry = dict(zip(("_key", "_more"), row_keys(docs)))
+    found = near_duplicates(docs, shingle, bits, text, id_col, carry, scratch=scratch)
+    return kept_rows(docs, found, scratch)
