@@ -280,9 +280,8 @@ SQL: dict[str, str] = {
     "quality_epochs": f"""{_with(*_DAY, _quality("(b - DATE '2024-01-01') // 10"))}
         SELECT CAST((b - DATE '2024-01-01') // 10 AS BIGINT) AS epoch, {_BATCH}, {_QUALITY_COLUMNS} FROM quality""",
     "candles_body_pump": f"""{_with(_CANDLES)}
-        SELECT 'price_candle' AS event_type, symbol, CAST(month AS VARCHAR) AS timestamp, round(open, 6) AS open,
-               round(high, 6) AS high, round(low, 6) AS low, round(close, 6) AS close, round(volume, 6) AS volume,
-               round(abs(close - open) / open * 100, 6) AS body_pct,
+        SELECT 'price_candle' AS event_type, symbol, CAST(month AS VARCHAR) AS timestamp, open, high, low, close, volume,
+               abs(close - open) / open * 100 AS body_pct,
                CAST(abs(close - open) / open * 100 > 10 AS INTEGER) AS pumping, 'kaggle_ohlcv' AS source
         FROM cd""",
     "ohlcv_headers_symbols": f"""{_with(_CANDLES)}

@@ -207,10 +207,9 @@ def quality_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candles_body_pump(spark: SparkSession, sf_dir: str) -> DataFrame:
     candles = ohlcv.to_candles(adapters.monthly_candles(spark, sf_dir))
-    body = F.round(body_pct(F.col("open"), F.col("close")), 6)
-    prices = [F.round(c, 6).alias(c) for c in ("open", "high", "low", "close", "volume")]
     return candles.select(
-        "event_type", "symbol", "timestamp", *prices, body.alias("body_pct"),
+        "event_type", "symbol", "timestamp", "open", "high", "low", "close", "volume",
+        body_pct(F.col("open"), F.col("close")).alias("body_pct"),
         F.col("pumping").cast("int").alias("pumping"), "source",
     )
 
