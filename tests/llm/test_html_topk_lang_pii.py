@@ -1,0 +1,216 @@
+import html as entities
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ringwatch.llm import dom, htmltext, langid, pii, queries, topk
+
+
+# Main text
+
+
+def article_of(page):
+    inner = re.search(r"(?s)<article>(.*?)</article>", page)[1]
+    return " ".join(entities.unescape(re.sub(r"</?b>", "", re.sub(r"<br>|</?p>|</?h1>", " ", inner))).split())
+
+
+def test_pages_of_the_table(spark, sf_dir):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    found = queries.op3_main_text(spark, sf_dir).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        assert r.text == article_of(pages[r.page_id]) and r.n_chars == len(r.text)
+
+
+def test_held_out_nodes():
+    model, right, total = htmltext.train(), 0, 0
+    for seed in range(900_000, 900_120):
+        nodes = dom.parse(htmltext.training_page(seed))
+        table = dom.features([nodes])
+        kept = htmltext.decode(nodes, model.log_odds(table), htmltext._weights(table))
+        for node, keep in zip(nodes, kept):
+            assert not keep or node.parent is None or kept[node.parent.order]
+            if node.label is not None:
+                total += 1
+                right += keep == bool(int(node.label))
+    assert right / total > 0.98
+
+
+def test_decoding_is_the_best_consistent_choice():
+    r, nodes = random.Random(3), []
+    for i in range(9):
+        nodes.append(dom.Node("div", (), nodes[r.randrange(i)] if i else None, i))
+    for node in nodes[1:]:
+        node.parent.children.append(node)
+    for _ in range(30):
+        odds, weight = np.array([r.uniform(-4, 4) for _ in nodes]), np.array([r.uniform(1, 3) for _ in nodes])
+        value = lambda c: sum(-np.log1p(np.exp(-o if k else o)) * w for o, w, k in zip(odds, weight, c))
+        fits = lambda c: c[0] and all(not c[i] or c[n.parent.order] for i, n in enumerate(nodes) if n.parent)
+        best = max(value(c) for c in ([bool(m >> i & 1) for i in range(9)] for m in range(512)) if fits(c))
+        kept = htmltext.decode(nodes, odds, weight)
+        assert fits(kept) and value(kept) == pytest.approx(best)
+
+
+@pytest.mark.parametrize("page", [None, "", "<", "<p", "</p></div>", "<table><tr><td>", "<script>", "<!--", "&#xFFFFFFF;", "<a href='x", "<p>" * 500])
+def test_broken_pages(page):
+    assert isinstance(htmltext.extract([page], htmltext.train())[0], str)
+
+
+def test_blocks_and_references():
+    page = "<html><body><article><h1>A  &amp;\n B</h1><p>one<b>two</b> &eacute;&#233;<br>three<p>four<script>x</script></article><footer>f</footer>"
+    assert htmltext.extract([page], htmltext.train()) == ["A & B onetwo éé three four"]
+
+
+def test_page_columns(spark):
+    df = spark.createDataFrame([(1, "plain", None), (1, None, "<p>x")], "page_id long, text string, html string")
+    found = htmltext.extract_pages(df)
+    assert found.columns == ["page_id", "html", "text", "n_chars"] and found.count() == 2
+    assert found.filter("html is null").first().text == ""
+    assert htmltext.extract_pages(df.limit(0)).count() == 0
+
+
+# Top-k
+
+
+def brute(rows, k=5, every=50):
+    ok = [(i, np.floor(256 * np.array(v, dtype=np.float64)).astype(np.int64)) for i, v in rows
+          if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    width = max((len(v) for _, v in ok), default=0)
+    ok = [(i, np.pad(v, (0, width - len(v)))) for i, v in ok]
+    result, seen = [], set()
+    for i, v in sorted(ok, key=lambda x: x[0]):
+        if i % every == 0 and i not in seen:
+            seen.add(i)
+            scored = sorted((-int(v @ w), j) for j, w in ok if j != i)[:k]
+            result += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored)]
+    return sorted(result)
+
+
+@pytest.mark.parametrize("seed,n", [(0, 700), (1, 60), (2, 4)])
+def test_topk_brute(spark, monkeypatch, seed, n):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    r = np.random.default_rng(seed)
+    rows = [(int(i), [float(x) for x in np.float32(r.normal(size=8) * r.choice([0.1, 1, 30]))]) for i in range(n)]
+    rows += [(1000 + i, rows[1][1]) for i in range(n // 4)]
+    rows += [(2000, None), (2050, [1.0, None] * 4), (2100, [float("nan")] * 8), (2150, [float("inf")] * 8), (None, [1.0] * 8)]
+    rows += [(2200, [0.0] * 8), (2250, rows[0][1]), (2300, [-1.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("x")).repartition(3)
+    found = topk.top_k(df, 5, 50, pivots=6, rings=4)
+    assert sorted(map(tuple, found.collect())) == brute(rows)
+
+
+def test_topk_odd_shapes(spark):
+    rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, []), (50, [1.0, 1.0, 1.0]), (50, [2.0, 0.0, 0.0]), (3, [0.5, -0.25])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [tuple(r) for r in topk.top_k(df).collect()]
+    assert [x for x in sorted(found) if x[0] == 0] == [x for x in brute(rows) if x[0] == 0]
+    assert topk.top_k(df.limit(0)).count() == 0
+    assert topk.top_k(df.filter("vec_id = 0")).count() == 0
+
+
+# Language
+
+
+def test_language_held_out(spark):
+    folder = "/root/testdata/sf0.01"
+    found = queries.op5_language(spark, folder).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    assert len(found) == len(truth)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    held = [r for r in found if r.held_out]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.95
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_language_cases(spark):
+    rows = [(i, "the house and the tree", "en") for i in range(20)] + [(30 + i, "das haus und der baum", "de") for i in range(20)]
+    rows += [(100, None, "en"), (101, "123 !?", "de"), (102, "", None), (None, "der baum", None), (103, "and the", None), (103, "and the", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_Language", F.lit(1))
+    found = langid.identify(df.drop("_Language"))
+    got = {(r.doc_id, r.text): r._language for r in found.collect()}
+    assert [got[k].lang for k in ((100, None), (101, "123 !?"), (102, ""))] == ["und"] * 3
+    assert got[None, "der baum"].lang == "de" and got[103, "and the"].lang == "en"
+    assert found.count() == len(rows)
+    assert langid.identify(df.drop("_Language").limit(0)).count() == 0
+    unlabelled = df.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    assert {r._language.lang for r in langid.identify(unlabelled).collect()} == {"und"}
+
+
+def test_long_texts_are_scored_in_slices(monkeypatch):
+    r = np.random.default_rng(0)
+    table = np.asfortranarray(r.normal(size=(langid.BUCKETS, 3)).astype(np.float32))
+    texts = ["abc déf 日本" * 50, "x", "", "hello there" * 7]
+    whole = langid.log_likelihoods(texts, table)
+    monkeypatch.setattr(langid, "SLICE", 13)
+    monkeypatch.setattr(langid, "STEP", 40)
+    assert np.allclose(whole, langid.log_likelihoods(texts, table), atol=1e-3)
+
+
+# Pseudonyms
+
+TEXTS = [
+    "call +1 (945) 555-5337 or +1-945-555-5337 now", "card 4727987978438325, 4727 9879 7843 8325; bad 4727987978438326",
+    "ip 28.68.191.238. and 999.1.1.1", "mail trbg.47@mail7.example.com or A.b@x.org.",
+    'password=d72a491f71c7584344 token = "dba6d7f0e536819fdb1f59e9687b18568bd00ff4" on',
+    "born 1984-02-29, 29.02.1984 02/29/1984 2023-02-30 SSN 123-45-6789 000-12-3456", None, "", "Version 2.0, year 1999", "no",
+]
+
+
+def luhn(digits):
+    total = sum(int(c) if i % 2 == 0 else (2 * int(c) - 9 if c > "4" else 2 * int(c)) for i, c in enumerate(reversed(digits)))
+    return total % 10 == 0
+
+
+def test_pseudonyms(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").withColumn("_found", F.lit("k"))
+    rows = {r.doc_id: r for r in pii.pseudonymise(df, "k").collect()}
+    assert [rows[i].n_replaced for i in range(len(TEXTS))] == [2, 2, 1, 2, 2, 4, 0, 0, 0, 0]
+    assert rows[0]._found == "k"
+    shape = lambda t: re.sub("[0-9]", "0", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", t)))
+    for i in (0, 1, 3, 5):
+        assert shape(rows[i].text) == shape(TEXTS[i]) and rows[i].text != TEXTS[i]
+    digits = [re.sub(r"\D", "", x) for x in re.findall(r"\+1[ -][^a-z]+", rows[0].text)]
+    assert digits[0] == digits[1] and digits[0][0] == "1"
+    cards = re.findall(r"\d[\d ]{14,}\d", rows[1].text)
+    assert cards[0] == cards[1].replace(" ", "") and luhn(cards[0]) and cards[2] == "4727987978438326"
+    address = re.search(r"ip ([\d.]+)\. and 999\.1\.1\.1", rows[2].text)[1]
+    assert all(int(x) < 256 for x in address.split("."))
+    assert "@mail7.example.com" in rows[3].text and "trbg.47" not in rows[3].text
+    assert re.search(r'password=[0-9a-f]{18} token = "[0-9a-f]{40}" on', rows[4].text)
+    a, b, c, d = re.search(r"born (\S+), (\S+) (\S+) (\S+) SSN", rows[5].text).groups()
+    y, m, day = a.split("-")
+    assert (b, c, d) == (f"{day}.{m}.{y}", f"{m}/{day}/{y}", "2023-02-30") and "000-12-3456" in rows[5].text
+    assert rows[6].text is None and [rows[i].text for i in (7, 8, 9)] == TEXTS[7:]
+    other = pii.pseudonymise(df, "another key").filter("doc_id = 0").first().text
+    assert other != rows[0].text
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0
+
+
+def test_permutations_are_one_to_one(spark):
+    ids = spark.range(0, 2000)
+    days = ids.select(F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), (F.col("id") * 36).cast("int")), "yyyy-MM-dd").alias("t"))
+    found = days.select("t", pii.pseudonym(F.col("t"), "k").alias("p"))
+    assert found.select("p").distinct().count() == 2000
+    assert found.select(F.min("p"), F.max("p")).first()[0] >= "1900-01-01" and found.agg(F.max("p")).first()[0] <= "2099-12-31"
+    small = spark.range(0, 99 * 7).select(pii.feistel(F.col("id") % 7, F.floor(F.col("id") / 7), F.lit(7), F.lit(99), "k", "t").alias("m"))
+    assert small.distinct().count() == 99 * 7
+    ssn = ids.select(F.concat_ws("-", F.lpad((F.col("id") % 665 + 1).cast("string"), 3, "0"), F.lit("11"), F.lpad((F.col("id") + 1).cast("string"), 4, "0")).alias("t"))
+    fresh = [r[0] for r in ssn.select(pii.pseudonym(F.col("t"), "k")).collect()]
+    assert len(set(fresh)) == 2000 and all(re.fullmatch(pii.SSN, x) and x[:3] not in ("000", "666") and x[:3] < "900" for x in fresh)
+
+
+def test_long_text_without_matches_is_quick(spark):
+    text = "a1" * 400_000 + " " + "1.2.3." * 50_000 + "x@" * 50_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.pseudonymise(df, "k").first().text is not None
+
+
+def test_no_python_in_native_queries(spark, sf_dir):
+    for name in ("op6_shards", "op8_mixture", "op9_pseudonyms"):
+        plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
