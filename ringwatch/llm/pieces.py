@@ -20,6 +20,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -270,19 +272,46 @@ def _unpack(states, scores) -> Matrix:
 # As Spark jobs
 
 
-def _encode_texts(pieces: Pieces, texts: list[str | None]) -> list[np.ndarray | None]:
-    result: list[np.ndarray | None] = [None] * len(texts)
-    group, size = [], 0
-    for i, text in enumerate([*texts, None]):
-        if i < len(texts) and text is not None:
-            group.append(i)
-            size += len(text)
-        if group and (size >= BATCH_CHARS or i == len(texts)):
-            found = pieces.processor.encode([texts[j] for j in group], num_threads=1)
-            for j, ids in zip(group, found):
-                result[j] = np.array(ids, dtype=np.int32)
-            group, size = [], 0
-    return result
+_TOKENS = pa.schema([
+    ("doc_id", pa.int64()), ("text", pa.string()), ("token_ids", pa.list_(pa.int32())), ("decoded", pa.string()),
+])
+TOKENS = "doc_id long, text string, token_ids array<int>, decoded string"
+
+
+def _spans(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Neighbouring rows that are encoded together."""
+    start, total = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        total += size
+        if total >= BATCH_CHARS:
+            yield start, i + 1
+            start, total = i + 1, 0
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _tokenise(batches: Iterator[pa.RecordBatch], model_file: str, kind: str, back: bool) -> Iterator[pa.RecordBatch]:
+    """Ids, and if asked for the text they decode to, of rows ``doc_id, text``.
+
+    Rows go out in small batches, so that a task holds the lists of few texts.
+    """
+    processor = load(model_file, kind).processor
+    for batch in batches:
+        texts = batch.column("text").cast(pa.string())
+        for start, end in _spans(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)):
+            part = texts.slice(start, end - start)
+            known = [t for t in part.to_pylist() if t is not None]
+            ids = iter(processor.encode(known, num_threads=1) if known else [])
+            lists = [next(ids) if valid else None for valid in part.is_valid().to_pylist()]
+            found = iter(processor.decode([x for x in lists if x is not None], num_threads=1) if known and back else [])
+            decoded = [None if x is None or not back else next(found) for x in lists]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id").slice(start, end - start), part,
+                    pa.array(lists, pa.list_(pa.int32())), pa.array(decoded, pa.string()),
+                ],
+                schema=_TOKENS,
+            )
 
 
 def _decode_ids(processor, lists: list[np.ndarray | None]) -> list[str | None]:
@@ -405,9 +434,12 @@ def encode(
     kind: str = "bpe",
     giant: int = GIANT,
     chunk: int = CHUNK,
+    back: bool = False,
     scratch: Scratch | None = None,
 ) -> DataFrame:
-    """``doc_id, text, token_ids`` per row of ``docs``, the ids as the library gives them.
+    """``doc_id, text, token_ids, decoded`` per row of ``docs``, the ids as the library gives them.
+
+    With ``back`` the ids are decoded again in the same pass; ``decoded`` is null without.
 
     ``model_file`` must be readable under that path on every executor; ``kind`` says
     what it holds, ``bpe`` or ``unigram``. Texts of up to ``giant`` characters are
@@ -418,21 +450,15 @@ def encode(
     """
     scratch = scratch_for(docs, scratch)
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = load(model_file, kind)
-        for texts in batches:
-            yield pd.Series(_encode_texts(pieces, texts.tolist()), dtype=object)
-
     long_ = F.coalesce(F.length(text) > giant, F.lit(False))
-    usual = docs.filter(~long_).select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"), ids(F.col(text)).alias("token_ids")
-    )
+    usual = docs.filter(~long_).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    usual = usual.mapInArrow(lambda b: _tokenise(b, model_file, kind, back), TOKENS)
     giants = docs.filter(long_)
     if giants.isEmpty():
         return usual
     found = scratch.cut(_giant_ids(giants, text, id_col, model_file, kind, chunk, scratch), "encoded")
-    return usual.unionByName(found.toDF("doc_id", "text", "token_ids"))
+    decoded = decode(F.col("token_ids"), model_file) if back else F.lit(None).cast("string")
+    return usual.unionByName(found.toDF("doc_id", "text", "token_ids").withColumn("decoded", decoded))
 
 
 def decode(token_ids: Column, model_file: str) -> Column:

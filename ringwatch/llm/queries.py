@@ -28,11 +28,9 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenised(docs: DataFrame, model_file: str = PIECE_MODEL) -> DataFrame:
     """Ids of every whole text, their number, and the text they decode to."""
-    found = pieces.encode(docs, model_file)
-    return found.select(
-        "doc_id", F.coalesce(F.size("token_ids"), F.lit(0)).cast("bigint").alias("n_tokens"), "token_ids",
-        pieces.decode(F.col("token_ids"), model_file).alias("decoded"),
-    )
+    found = pieces.encode(docs, model_file, back=True)
+    n_tokens = F.coalesce(F.size("token_ids"), F.lit(0)).cast("bigint")
+    return found.select("doc_id", n_tokens.alias("n_tokens"), "token_ids", "decoded")
 
 
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
