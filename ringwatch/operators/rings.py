@@ -8,6 +8,7 @@ is found in rounds (Blelloch, Fineman & Shun 2012) with the sequential result.
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +22,10 @@ from ringwatch.session import Scratch, scratch_for
 SHOWN_NODES = 20
 CRITICAL_DENSITY = 0.8
 
+#: Conflict pairs of a batch that one task may scan.
+SCANNED = 100_000
+GROUP = "_group"
+
 
 def first_seen(links: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
     """Rank of the given nodes by first appearance, a source before its target.
@@ -39,14 +44,47 @@ def first_seen(links: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame
     return wanted.groupBy(*keys, "node").agg(F.min("rank").alias("rank"))
 
 
+def _scan(pairs: pd.DataFrame) -> pd.DataFrame:
+    """Nodes of one batch that are chosen: none of the neighbours before them is.
+
+    ``lo`` stands before ``hi``; a node stands in the table as a pair with itself.
+    """
+    before: dict[str, list[str]] = {}
+    after: dict[str, list[str]] = {}
+    for lo, hi in zip(pairs["lo"], pairs["hi"]):
+        before.setdefault(hi, [])
+        if lo != hi:
+            before[hi].append(lo)
+            after.setdefault(lo, []).append(hi)
+    waiting = {node: len(lows) for node, lows in before.items()}
+    ready = [node for node, n in waiting.items() if not n]
+    chosen: dict[str, bool] = {}
+    for node in ready:
+        chosen[node] = not any(chosen[lo] for lo in before[node])
+        for hi in after.get(node, ()):
+            waiting[hi] -= 1
+            if not waiting[hi]:
+                ready.append(hi)
+    picked = [node for node, yes in chosen.items() if yes]
+    return pd.DataFrame({GROUP: [pairs[GROUP].iloc[0]] * len(picked), "node": picked})
+
+
 def first_independent_set(
-    ranked: DataFrame, pairs: DataFrame, keys: list[str], scratch: Scratch | None = None
+    ranked: DataFrame,
+    pairs: DataFrame,
+    keys: list[str],
+    scratch: Scratch | None = None,
+    scanned: int = SCANNED,
 ) -> DataFrame:
     """Nodes chosen by scanning in rank order and skipping neighbours of chosen ones.
 
-    Each round chooses every open node without an open neighbour of lower rank
-    and closes its neighbours. The lowest open node of a batch is always chosen,
-    so the rounds end; only an emptiness test reaches the driver.
+    The conflicts of a batch, which lie among qualifying nodes only, are scanned in
+    one task as long as they are at most ``scanned`` pairs, however long their chains
+    are. A larger batch goes through rounds until it is as small: each round chooses
+    every open node without an open neighbour of lower rank and closes its
+    neighbours. The lowest open node of a batch is always chosen, so the rounds end;
+    only emptiness tests reach the driver. What stays sequential is a single batch of
+    more than that many conflicts in one long chain, which takes a round per link.
     """
     scratch = scratch_for(ranked, scratch)
 
@@ -62,10 +100,21 @@ def first_independent_set(
     ).filter(F.col("lo") != F.col("hi"))
     # An open node stands in the table as a pair with itself.
     self_pairs = ranked.select(*keys, F.col("node").alias("lo"), F.col("node").alias("hi"))
-    open_pairs = scratch.cut(ordered.unionByName(self_pairs), "open")
+    # A text that names the batch, null keys included, for the trip through pandas.
+    group = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias(GROUP)
+    open_pairs = scratch.cut(ordered.unionByName(self_pairs).select("*", group), "open")
     conflict = F.col("lo") != F.col("hi")
     chosen = []
-    while not open_pairs.filter(conflict).isEmpty():
+    while True:
+        sizes = open_pairs.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") <= scanned)
+        small = open_pairs.join(sizes.select(GROUP), GROUP, "left_semi")
+        picked = small.select(GROUP, "lo", "hi").groupBy(GROUP).applyInPandas(_scan, f"{GROUP} string, node string")
+        nodes = open_pairs.filter(~conflict).select(*keys, GROUP, F.col("lo").alias("node"))
+        chosen.append(nodes.join(picked, [GROUP, "node"], "left_semi").select(*keys, "node"))
+        large = open_pairs.join(sizes.select(GROUP), GROUP, "left_anti")
+        if large.isEmpty():
+            return reduce(DataFrame.unionByName, chosen)
+        open_pairs = scratch.cut(large, "large")
         heads = (
             open_pairs.groupBy(*keys, F.col("hi").alias("node"))
             .agg(F.max(conflict).alias("blocked"))
@@ -85,7 +134,7 @@ def first_independent_set(
             "closed",
         )
         chosen.append(closed.filter("chosen").select(*keys, "node"))
-        if len(chosen) == 16:
+        if len(chosen) >= 16:
             chosen = [scratch.cut(reduce(DataFrame.unionByName, chosen), "chosen")]
         done = closed.select(*keys, "node")
         for side in ("lo", "hi"):
@@ -93,8 +142,6 @@ def first_independent_set(
                 done.withColumnRenamed("node", side), [*keys, side], "left_anti"
             )
         open_pairs = scratch.cut(open_pairs, "open")
-    chosen.append(open_pairs.select(*keys, F.col("lo").alias("node")))
-    return reduce(DataFrame.unionByName, chosen)
 
 
 def ring_members(seeds: DataFrame, pairs: DataFrame, keys: list[str]) -> DataFrame:

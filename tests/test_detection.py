@@ -104,8 +104,10 @@ def sequential_rings(edges, min_size, density):
     return found
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_rings_on_random_graphs(spark, seed):
+@pytest.mark.parametrize("seed,scanned", [(0, 100_000), (1, 12), (2, 0)])
+def test_rings_on_random_graphs(spark, monkeypatch, seed, scanned):
+    """With small batches scanned in one task, with some of them, and in rounds alone."""
+    monkeypatch.setattr(rings.first_independent_set, "__defaults__", (None, scanned))
     r = random.Random(seed)
     rows = []
     for b in range(25):
@@ -121,9 +123,11 @@ def test_rings_on_random_graphs(spark, seed):
     assert mine == wanted
 
 
-def test_rings_on_a_long_squared_chain(spark):
-    names = [f"c{i:04}" for i in range(60)]
-    edges = [(names[i], names[j]) for i in range(60) for j in (i + 1, i + 2) if j < 60]
+@pytest.mark.parametrize("n", [60, 600])
+def test_rings_on_a_long_squared_chain(spark, n):
+    """Chains of any length are scanned in one step."""
+    names = [f"c{i:04}" for i in range(n)]
+    edges = [(names[i], names[j]) for i in range(n) for j in (i + 1, i + 2) if j < n]
     found = rings.detect_rings(links(spark, edges), ["batch"], 4, 0.5).collect()
     wanted = sequential_rings([(i, *e) for i, e in enumerate(edges)], 4, 0.5)
     assert {x.seed_node for x in found} == set(wanted)
