@@ -29,10 +29,15 @@ def both_ends(pairs: DataFrame, keys: list[str], *payload: tuple[str, Column, Co
     return pairs.select(*keys, F.explode(F.array(*sides)).alias("e")).select(*keys, "e.*")
 
 
-def with_degrees(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs without loops, each with the neighbour counts ``ka`` and ``kb`` of its ends."""
+def with_degrees(pairs: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """Pairs without loops, each with the neighbour counts ``ka`` and ``kb`` of its ends.
+
+    The counts are written down first: a join of plain tables is one whose hot keys
+    adaptive execution can split, and a hub is the key of all its pairs.
+    """
     proper = pairs.filter(F.col("a") != F.col("b"))
     k = both_ends(proper, keys).groupBy(*keys, "node").agg(F.count(F.lit(1)).alias("k"))
+    k = scratch.cut(k, "degrees")
     ka = k.select(*keys, F.col("node").alias("a"), F.col("k").alias("ka"))
     kb = k.select(*keys, F.col("node").alias("b"), F.col("k").alias("kb"))
     return proper.join(ka, [*keys, "a"]).join(kb, [*keys, "b"])
@@ -65,7 +70,7 @@ def density_candidates(
     return nodes.select(*keys, "node", "k")
 
 
-def _around(edges: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFrame:
+def _around(edges: DataFrame, seeds: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
     """Edges with both ends among the seeds and their neighbours: all edges of seed triangles."""
 
     def flagged(df, end):
@@ -75,7 +80,7 @@ def _around(edges: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFrame:
     touching = flagged(flagged(edges, "a"), "b").filter(
         F.col("_a").isNotNull() | F.col("_b").isNotNull()
     )
-    near = both_ends(touching, keys).distinct()
+    near = scratch.cut(both_ends(touching, keys).distinct(), "near_nodes")
     for end in ("a", "b"):
         edges = edges.join(near.withColumnRenamed("node", end), [*keys, end], "left_semi")
     return edges
@@ -140,11 +145,11 @@ def ego_density(
     is cut down to where one is possible before any triangle is looked for.
     """
     scratch = scratch_for(pairs, scratch)
-    edges = scratch.cut(with_degrees(pairs, keys), "edges")
+    edges = scratch.cut(with_degrees(pairs, keys, scratch), "edges")
     seeds = density_candidates(edges, keys, min_size, density)
     if density is not None:
         seeds = scratch.cut(seeds, "seeds")
-        edges = scratch.cut(_around(edges, seeds, keys), "near")
+        edges = scratch.cut(_around(edges, seeds, keys, scratch), "near")
     corners = triangles(edges, keys, split).select(
         *keys, F.explode(F.array("u", "v", "w")).alias("node")
     )

@@ -88,6 +88,9 @@ def first_independent_set(
     """
     scratch = scratch_for(ranked, scratch)
 
+    # A plain table, so that a node with many conflicts can be split in the joins.
+    ranked = scratch.cut(ranked, "ranked")
+
     def end(name):
         return ranked.select(*keys, F.col("node").alias(name), F.col("rank").alias(f"r{name}"))
 
