@@ -13,9 +13,9 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; null texts and texts without letters go."""
-    found = langid.identify(docs)
-    known = (F.col("_language.lang") != langid.UNKNOWN) & (F.col("_language.score") >= MIN_LANGUAGE_SCORE)
-    return found.filter(known).select(*docs.columns)
+    found, name = langid.identify(docs), langid.language_column(docs)
+    known = (F.col(f"{name}.lang") != langid.UNKNOWN) & (F.col(f"{name}.score") >= MIN_LANGUAGE_SCORE)
+    return found.filter(known).drop(name)
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

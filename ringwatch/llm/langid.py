@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.llm.common import free_name
+
 BUCKETS = 1 << 16
 #: Labelled rows per language that the model is fitted on, in expectation.
 TRAIN_ROWS = 1500
@@ -180,14 +182,19 @@ def is_held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(remainder == 2, F.lit(False))
 
 
+def language_column(docs: DataFrame) -> str:
+    return free_name(docs, "_language")
+
+
 def identify(
     docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS
 ) -> DataFrame:
-    """``docs`` with a column ``_language`` (struct of ``lang``, ``score``) added.
+    """``docs`` with a column ``_language`` (struct of ``lang``, ``score``) added at the end.
 
     Trained on the labelled rows that are not held out; ``lang`` and the id are no
-    input of a prediction. A clashing column name is lengthened by underscores.
+    input of a prediction. ``language_column`` gives the new column's name, which is
+    longer by underscores if ``docs`` has one of that name.
     An empty table gives an empty result. The texts' other columns stay in the JVM.
     """
     model = train(docs, ~is_held_out(id_col) & F.col(id_col).isNotNull(), text, lang, id_col, rows)
-    return docs.withColumn("_language", predict(docs.sparkSession, model, F.col(text)))
+    return docs.withColumn(language_column(docs), predict(docs.sparkSession, model, F.col(text)))

@@ -130,13 +130,15 @@ def test_language_held_out(spark):
 def test_language_cases(spark):
     rows = [(i, "the house and the tree", "en") for i in range(20)] + [(30 + i, "das haus und der baum", "de") for i in range(20)]
     rows += [(100, None, "en"), (101, "123 !?", "de"), (102, "", None), (None, "der baum", None), (103, "and the", None), (103, "and the", None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("_Language", F.lit(1))
-    found = langid.identify(df.drop("_Language"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.identify(df)
     got = {(r.doc_id, r.text): r._language for r in found.collect()}
+    clash = df.limit(3).withColumn("_Language", F.lit(1))
+    assert langid.identify(clash).columns == [*clash.columns, langid.language_column(clash)]
     assert [got[k].lang for k in ((100, None), (101, "123 !?"), (102, ""))] == ["und"] * 3
     assert got[None, "der baum"].lang == "de" and got[103, "and the"].lang == "en"
     assert found.count() == len(rows)
-    assert langid.identify(df.drop("_Language").limit(0)).count() == 0
+    assert langid.identify(df.limit(0)).count() == 0
     unlabelled = df.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
     assert {r._language.lang for r in langid.identify(unlabelled).collect()} == {"und"}
 
