@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.functions.times import parse_time
 from ringwatch.schemas import CONFIRMED
 
 # Fixed values of the reports: lengths of the lists that are cut by design.
@@ -38,7 +39,7 @@ def alerts_timeline(alerts: DataFrame) -> DataFrame:
     """Alerts per minute and type; rows without a readable time are dropped."""
     at = F.col("detected_at")
     if dict(alerts.dtypes)["detected_at"] == "string":
-        at = F.try_to_timestamp(at)
+        at = parse_time(at)
     timed = alerts.withColumn("detected_at", at).filter(F.col("detected_at").isNotNull())
     minute = F.window("detected_at", "1 minute")
     return timed.groupBy(minute.alias("w"), "alert_type").agg(F.count(F.lit(1)).alias("count")).select(

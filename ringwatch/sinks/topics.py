@@ -17,8 +17,3 @@ def write_topic(records: DataFrame, servers: str, topic: str) -> None:
 
 def topic_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
-
-
-def write_files(records: DataFrame, folder: str) -> None:
-    """The file twin of a topic: one JSON record per line."""
-    records.select("value").write.mode("append").text(folder)

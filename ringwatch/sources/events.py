@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringwatch.schemas import EVENT, PRICE_EVENT, PRICE_TOPIC, SOCIAL_EVENT, SOCIAL_TOPIC
+from ringwatch.functions.times import parse_time
+from ringwatch.schemas import EVENT, PRICE_TOPIC, SOCIAL_EVENT, SOCIAL_TOPIC
 
 
 def kafka_options(servers: str, topics: str = f"{SOCIAL_TOPIC},{PRICE_TOPIC}") -> dict[str, str]:
@@ -46,9 +47,5 @@ def social(events: DataFrame) -> DataFrame:
     return events.filter(F.col("event_type") == SOCIAL_EVENT)
 
 
-def prices(events: DataFrame) -> DataFrame:
-    return events.filter(F.col("event_type") == PRICE_EVENT)
-
-
 def with_event_time(events: DataFrame) -> DataFrame:
-    return events.withColumn("event_time", F.try_to_timestamp("timestamp"))
+    return events.withColumn("event_time", parse_time(F.col("timestamp")))

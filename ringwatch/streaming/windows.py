@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from ringwatch.operators.batches import batch_summary
 from ringwatch.operators.graph import compact_links, detect_stars, interaction_edges
 from ringwatch.params import DEFAULTS
+from ringwatch.sources.events import with_event_time
 
 WINDOW = "window"
 
@@ -17,8 +18,8 @@ def windowed(events: DataFrame, width: str, delay: str, time: str = "event_time"
     come for a closed window are dropped by the aggregations, as Spark counts in its
     query progress.
     """
-    at = F.col(time) if time in events.columns else F.try_to_timestamp("timestamp")
-    timed = events.withColumn(time, at.cast("timestamp")).filter(F.col(time).isNotNull())
+    timed = events if time in events.columns else with_event_time(events)
+    timed = timed.withColumn(time, F.col(time).cast("timestamp")).filter(F.col(time).isNotNull())
     return timed.withWatermark(time, delay).withColumn(WINDOW, F.window(time, width))
 
 

@@ -1,8 +1,10 @@
+import functools
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from ringwatch.plans import oracle
+from ringwatch.plans import oracle, queries
 from ringwatch.plans.queries import QUERIES
 
 TABLES = "events lineitem documents".split()
@@ -14,6 +16,15 @@ def test_every_query_has_a_statement():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+@pytest.fixture(autouse=True, scope="module")
+def one_detection():
+    """The queries over the same detection share one run of it here."""
+    original = queries._detection
+    queries._detection = functools.cache(original)
+    yield
+    queries._detection = original
+
+
 def plain(value):
     if isinstance(value, float):
         return round(value, 6) + 0.0

@@ -224,3 +224,11 @@ def test_polls(spark):
     assert [got["t", i][0] for i in range(5)] == [0.0, 0.2, 0.0, -100.0, 0.0] and got["t", 3][1]
     assert got[None, 2] == (100.0, True) and got["u", 3] == (100.0, True)
     assert got["n", 2] == (0.0, False)
+
+
+def test_poll_candles(spark):
+    df = spark.createDataFrame([("BTC", 1.5, 2.0, 0.123456, 0.5, True, 7)],
+                               "symbol string, price_usd double, volume_24h_usd double, change_24h_pct double, "
+                               "change_since_last_poll_pct double, pumping boolean, poll_ts long")
+    row = polls.poll_candles(df).first()
+    assert (row.event_type, row.change_24h_pct, row.change_since_last_poll, row.timestamp) == ("price_candle", 0.1235, 0.5, "7")
