@@ -24,7 +24,9 @@ def _words(text: Column) -> Column:
 def at_mentions(text: Column) -> Column:
     """Words starting with ``@`` and longer than two characters, without the ``@``."""
     hits = F.filter(_words(text), lambda w: w.startswith("@") & (F.length(w) > 2))
-    return F.transform(hits, lambda w: F.substr(w, F.lit(2)))
+    names = F.transform(hits, lambda w: F.substr(w, F.lit(2)))
+    # Most texts have no such sign and need not be cut into words.
+    return F.when(text.contains("@"), names).when(text.isNotNull(), F.array().cast("array<string>"))
 
 
 def first_of(values: Column, limit: int | None) -> Column:

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from ringwatch.functions.times import week_of
 from ringwatch.schemas import EVENT, PRICE_EVENT, SOCIAL_EVENT
 
+#: Spark's own size of a file split.
+SPLIT_BYTES = 128 << 20
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
@@ -13,6 +15,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer files than there are cores, dealt out to all of them.
+
+    A small file is one row group and so one task, however long its rows take. Files
+    that Spark splits by itself are left alone: that is a matter of their size.
+    """
+    spark, files = df.sparkSession, df.inputFiles()
+    cores = spark.sparkContext.defaultParallelism
+    if not 0 < len(files) < cores:
+        return df
+    size = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
+    return df.repartition(cores) if size < cores * SPLIT_BYTES else df
+
+
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as interactions and candles, with ``event_id``, ``ts``, ``day`` and ``week``."""
     kind = F.col("event_type")
@@ -103,6 +119,6 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` as posts; every third one opens with two mentions."""
     opening = F.concat(F.lit("@"), F.col("source"), F.lit(" @"), F.col("lang"), F.lit(" "))
     text = F.concat(F.when(F.col("doc_id") % 3 == 0, opening).otherwise(F.lit("")), F.col("text"))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("source").alias("user"), text.alias("text"), F.lit("2024-01-01").alias("date")
     )
