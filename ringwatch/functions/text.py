@@ -13,7 +13,7 @@ DEFAULT_TARGET = "crypto_community"
 
 # Unicode white space plus the four ASCII separators.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
-_SHORTEST, _LONGEST = 2, 8
+_SHORT = r"(?<!\p{L})\p{L}{2,8}+(?!\p{L})"
 _TICKER = r"^(?=.*\p{IsUppercase})[^\p{IsLowercase}\p{Lt}]+$"
 
 
@@ -36,9 +36,9 @@ def first_of(values: Column, limit: int | None) -> Column:
 
 def _tickers(text: Column) -> Column:
     letters = F.regexp_replace(F.upper(text), r"(?U)[^\p{L}\s\x1c-\x1f]+", "")
-    fits = lambda w: F.length(w).between(_SHORTEST, _LONGEST)
-    # The length decides for most words before any pattern is tried.
-    return F.filter(_words(letters), lambda w: fits(w) & w.rlike(_TICKER) & ~w.isin(SKIP_WORDS))
+    # Only words of the right length are cut out, and most of those are decided by the list.
+    short = F.regexp_extract_all(letters, F.lit(_SHORT), 0)
+    return F.filter(short, lambda w: ~w.isin(SKIP_WORDS) & w.rlike(_TICKER))
 
 
 def token_mentions(text: Column, limit: int | None = None) -> Column:
