@@ -1,5 +1,7 @@
 """Per-batch summary, confidence score, outcome and status."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +91,8 @@ def score_batches(
     )
 
 
-def batch_outcomes(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """Confusion outcome per batch: TP, FP, FN, or TN."""
+def batch_outcomes(scored: DataFrame, keys: list[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Confusion outcome per batch: TP, FP, FN, or TN; ``carry`` names further columns to keep."""
     detected = F.col("alert_count") > 0
     outcome = (
         F.when(F.col("ground_truth") & detected, "TP")
@@ -99,14 +101,22 @@ def batch_outcomes(scored: DataFrame, keys: list[str]) -> DataFrame:
         .otherwise("TN")
     )
     return scored.select(
-        *keys, "ground_truth", detected.alias("detected"), outcome.alias("outcome"), "persisted"
+        *keys, "ground_truth", detected.alias("detected"), outcome.alias("outcome"), "persisted", *carry
     )
 
 
 def batch_status(scored: DataFrame, quality: DataFrame, keys: list[str]) -> DataFrame:
-    """The status line of each batch, with running quality to two digits."""
+    """The status line of each batch, opened by its key, with running quality to two digits.
+
+    A number is written with four digits at least, as the batches of a stream have.
+    """
+    kinds = dict(scored.dtypes)
+    label = [
+        F.format_string("%04d", c) if kinds[c] in ("int", "bigint") else F.col(c).cast("string") for c in keys
+    ]
     line = F.format_string(
-        "%s | social=%d price=%d | alerts=%d conf=%s | P=%.2f R=%.2f F1=%.2f",
+        "[Batch %s] %s | social=%d price=%d | alerts=%d conf=%s | P=%.2f R=%.2f F1=%.2f",
+        F.concat_ws(" ", *label),
         F.when(F.col("alert_count") > 0, "[ANOMALY]").otherwise("[CLEAN]"),
         "social_count",
         "price_count",
@@ -116,5 +126,7 @@ def batch_status(scored: DataFrame, quality: DataFrame, keys: list[str]) -> Data
         "recall",
         "f1_score",
     )
-    running = quality.select(*keys, "precision", "recall", "f1_score")
-    return scored.join(running, keys).select(*keys, line.alias("status"), "persisted")
+    # As a struct the keys match where they are null, too.
+    key = F.struct(*keys).alias("_key")
+    running = quality.select(key, "precision", "recall", "f1_score")
+    return scored.select("*", key).join(running, "_key").select(*keys, line.alias("status"), "persisted")

@@ -258,7 +258,7 @@ SQL: dict[str, str] = {
     "alerts_enriched": f"{_with(*_DAY, _ALERTS)} SELECT {_ALERT_COLUMNS} FROM al",
     "batch_status": f"""{_with(*_DAY, _quality())}
         SELECT {_BATCH},
-               CASE WHEN alert_count > 0 THEN '[ANOMALY]' ELSE '[CLEAN]' END || ' | social=' || social_count
+               '[Batch ' || CAST(b AS VARCHAR) || '] ' || CASE WHEN alert_count > 0 THEN '[ANOMALY]' ELSE '[CLEAN]' END || ' | social=' || social_count
                || ' price=' || price_count || ' | alerts=' || alert_count || ' conf=' || confidence
                || ' | P=' || CAST(round(CAST(round(p, 3) AS DECIMAL(6, 3)), 2) AS DECIMAL(6, 2))
                || ' R=' || CAST(round(CAST(round(r, 3) AS DECIMAL(6, 3)), 2) AS DECIMAL(6, 2))

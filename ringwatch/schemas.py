@@ -68,7 +68,10 @@ OUTCOME = _struct(
     detected=BooleanType(),
     outcome=StringType(),
     persisted=BooleanType(),
-    status=StringType(),
+    social_count=LongType(),
+    price_count=LongType(),
+    alert_count=LongType(),
+    confidence=StringType(),
 )
 
 # One market snapshot document: token id -> quote.

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ringwatch.operators.alerts import detect
-from ringwatch.operators.batches import batch_outcomes
+from ringwatch.operators.batches import batch_outcomes, batch_status
 from ringwatch.operators.quality import quality_snapshot, running_quality, stored_snapshot
 from ringwatch.params import DEFAULTS, Params
 from ringwatch.schemas import ALERT, OUTCOME
@@ -47,10 +47,9 @@ def make_batch_writer(
             arrived = events.withColumn("_arrival", F.monotonically_increasing_id())
             kept = scratch.cut(arrived.withColumn(KEY, F.lit(batch_id).cast("bigint")), "events")
             found = detect(kept, [KEY], seq or ["_arrival"], params, detected_at, scratch=scratch)
-            outcomes = batch_outcomes(found.scored, [KEY])
             write_batch(found.alerts, alerts_path(out), batch_id)
-            status = F.when(F.col("detected"), "ANOMALY").otherwise("CLEAN")
-            write_batch(outcomes.withColumn("status", status), outcomes_path(out), batch_id)
+            carry = ["social_count", "price_count", "alert_count", "confidence"]
+            write_batch(batch_outcomes(found.scored, [KEY], carry), outcomes_path(out), batch_id)
         finally:
             scratch.drop()
 
@@ -93,6 +92,11 @@ def current_metrics(spark: SparkSession, out: str) -> DataFrame:
     return quality_snapshot(stored_outcomes(spark, out))
 
 
+def status_lines(spark: SparkSession, out: str) -> DataFrame:
+    """What each batch found and the metrics after it, as one line."""
+    return batch_status(stored_outcomes(spark, out), metrics_over_batches(spark, out), [KEY])
+
+
 def last_stored_metrics(spark: SparkSession, out: str) -> DataFrame:
     """The metrics as of the last batch with an alert or a pumping price."""
     return stored_snapshot(metrics_over_batches(spark, out), KEY)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from ringwatch.operators import alerts, polls
 from ringwatch.operators.batches import batch_summary
-from ringwatch.schemas import EVENT
+from ringwatch.schemas import ALERT, EVENT
+from ringwatch.sinks.tables import read_batch
 from ringwatch.sources import events as E
 from ringwatch.streaming import detection, replay, spikes, windows
 
@@ -54,6 +55,9 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
     metrics = detection.current_metrics(spark, str(out)).first()
     assert (metrics.total_batches, metrics.true_positives, metrics.false_negatives) == (3, 2, 1)
     assert [r.recall for r in detection.metrics_over_batches(spark, str(out)).orderBy("batch_id").collect()] == [1.0, 0.5, 0.667]
+    lines = {r.batch_id: r.status for r in detection.status_lines(spark, str(out)).collect()}
+    assert lines[1] == "[Batch 0001] [CLEAN] | social=4 price=0 | alerts=0 conf=MEDIUM | P=1.00 R=0.50 F1=0.67"
+    assert read_batch(spark, detection.alerts_path(str(out)), ALERT, 2).count() == 1
     assert detection.last_stored_metrics(spark, str(out)).first().total_batches == 3
     rows = [{**r, "batch_id": b} for b, n in enumerate("abc") for r in map(json.loads, (data / f"{n}.json").read_text().split("\n")[:-1])]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in EVENT)
