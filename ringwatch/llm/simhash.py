@@ -19,6 +19,7 @@ SEED = 42
 REFERENCES = 16
 #: Fingerprints compared with one another in one step; larger buckets are cut into parts of about this.
 PART = 512
+BLOCKS_PER_TASK = 2000
 #: Shingles hashed before their bits are counted.
 STEP = 1 << 16
 
@@ -158,8 +159,10 @@ def close_links(prints: DataFrame, bits: int, scratch: Scratch, part: int = PART
         .agg(F.collect_list("fps").alias("parts"))
         .select("parts")
     )
-    linked = whole.unionByName(pairs).mapInPandas(lambda b: _connect(b, bits), "a long, b long")
-    return linked.distinct()
+    # A few bytes of fingerprints are much work, so tasks are cut by number, not by size.
+    tasks = 1 + blocks.count() // BLOCKS_PER_TASK
+    dealt = whole.unionByName(pairs).repartition(tasks)
+    return dealt.mapInPandas(lambda b: _connect(b, bits), "a long, b long").distinct()
 
 
 def near_duplicates(
