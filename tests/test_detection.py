@@ -20,7 +20,7 @@ def clique(n, name="n"):
     return [(f"{name}{i:03}", f"{name}{j:03}") for i in range(n) for j in range(i + 1, n)]
 
 
-# The tested cases of the reference.
+# Given cases.
 
 
 def test_graph(spark):
