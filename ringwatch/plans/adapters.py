@@ -29,11 +29,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size < cores * SPLIT_BYTES else df
 
 
-def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as interactions and candles, with ``event_id``, ``ts``, ``day`` and ``week``."""
+SOCIAL_KINDS = ["click", "view", "error"]
+PRICE_KINDS = ["purchase", "signup"]
+
+
+def market_events(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) -> DataFrame:
+    """``events`` as interactions and candles, with ``event_id``, ``ts``, ``day`` and ``week``.
+
+    ``kinds`` of the raw events are a filter that reaches the scan.
+    """
     kind = F.col("event_type")
-    is_social = kind.isin("click", "view", "error")
-    is_price = kind.isin("purchase", "signup")
+    is_social = kind.isin(SOCIAL_KINDS)
+    is_price = kind.isin(PRICE_KINDS)
+    raw = table(spark, sf_dir, "events")
 
     def user(value):
         return F.concat(F.lit("u"), value.cast("string"))
@@ -51,7 +59,7 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "timestamp": F.date_format("ts", TIME_FORMAT),
         "source": F.lit("events"),
     }
-    return table(spark, sf_dir, "events").select(
+    return (raw.filter(kind.isin(kinds)) if kinds else raw).select(
         "event_id",
         "ts",
         F.col("ts").cast("date").alias("day"),

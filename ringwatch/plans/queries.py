@@ -34,7 +34,8 @@ def _joined(column: str):
 
 
 def _links(spark, sf_dir, key):
-    edges = graph.interaction_edges(adapters.market_events(spark, sf_dir), [key], SEQ)
+    events = adapters.market_events(spark, sf_dir, adapters.SOCIAL_KINDS)
+    edges = graph.interaction_edges(events, [key], SEQ)
     return graph.compact_links(edges, [key])
 
 
@@ -52,7 +53,7 @@ def decode_route_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interaction_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     slot = F.date_format(F.window("ts", "10 minutes").start, "yyyy-MM-dd HH:mm")
-    events = adapters.market_events(spark, sf_dir).withColumn("batch", slot)
+    events = adapters.market_events(spark, sf_dir, adapters.SOCIAL_KINDS).withColumn("batch", slot)
     edges = graph.gate_edges(graph.interaction_edges(events, ["batch"], SEQ), ["batch"])
     return edges.select("batch", "seq", "src", "dst")
 
@@ -242,7 +243,7 @@ def snapshot_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    social = E.social(adapters.market_events(spark, sf_dir))
+    social = E.social(adapters.market_events(spark, sf_dir, adapters.SOCIAL_KINDS))
     fields = [
         "event_type", "source_user", "target_user", "interaction_type", "token_mentioned",
         "timestamp", "is_bot", "pump_signal", "source",

@@ -43,6 +43,12 @@ def test_query_equals_statement(spark, sf_dir, name):
     assert sorted(rows, key=str) == sorted((tuple(map(plain, r)) for r in wanted), key=str)
 
 
+@pytest.mark.parametrize("name", ["degrees", "star_hubs", "interaction_edges", "topic_records"])
+def test_event_filters_reach_the_scan(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "PushedFilters: [In(event_type, [click,error,view])" in plan
+
+
 def test_entry_runs(spark):
     assert contract.entry(spark).count() > 0
 
