@@ -28,7 +28,11 @@ PHONE = (
     r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})|\([0-9]{3}\)|[0-9]{3}(?=[.-]))"
     r"[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9A-Za-z])"
 )
-CARD = r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9]){12,18}(?![0-9A-Za-z])"
+# A run of digit groups, in which cards are looked for; it ends before a date, number or phone of its own.
+CARD = (
+    r"(?<![0-9A-Za-z])(?=(?:[\x20-]?[0-9]){13})[0-9]++(?![A-Za-z])"
+    rf"(?:(?![\x20-](?:{DATE}|{SSN}|{PHONE}))[\x20-][0-9]++(?![A-Za-z]))*+"
+)
 KINDS = {
     "email": EMAIL, "secret": SECRET, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD,
 }
@@ -40,6 +44,7 @@ NEEDED = r"[0-9@]"
 # that are never issued.
 FIRST_DAY, DAYS = "1900-01-01", 73_049
 DAY_PARTS = (229, 319)
+CARD_DIGITS = (13, 19)
 SSN_AREAS, SSN_SKIPPED = 898, 666
 
 
@@ -153,6 +158,69 @@ def _card(value: Column, key: str) -> Column:
     return F.when(valid, _laid_out(value, fresh)).otherwise(value)
 
 
+def _pieces(value: Column, is_hit: bool) -> Column:
+    return F.array(F.struct(value.alias("t"), F.lit(is_hit).alias("hit")))
+
+
+def _cards_of(run: Column) -> Column:
+    """Pieces ``t, hit`` of a run of digit groups: the valid cards in it and what stands between them.
+
+    A card may be any 13 to 19 digits from the start of one group to the end of
+    another. Taken is the first one, the longest of those that start there.
+    """
+    low, high = CARD_DIGITS
+
+    def longest(groups: Column, i: Column) -> Column:
+        """How many groups from the i-th make the longest card; 0 if none do."""
+        def longer(s: Column, j: Column) -> Column:
+            more = F.concat(s["d"], F.substr(_digits(F.get(groups, j)), F.lit(1), F.lit(high + 1)))
+
+            def tested(d: Column) -> Column:
+                valid = F.length(d).between(low, high) & (luhn_sum(d) % 10 == 0)
+                return F.struct(d.alias("d"), F.when(valid, j - i + 1).otherwise(s["n"]).alias("n"))
+
+            return F.when(F.length(s["d"]) >= high, s).otherwise(F.transform(F.array(more), tested)[0])
+
+        start = F.struct(F.lit("").alias("d"), F.lit(0).alias("n"))
+        last = F.least(i + high - 1, F.size(groups) - 1)
+        return F.aggregate(F.sequence(i, last), start, longer, lambda s: s["n"])
+
+    def picked(groups: Column) -> Column:
+        found = F.transform(
+            F.sequence(F.lit(0), F.size(groups) - 1),
+            lambda i: F.struct(i.alias("at"), (i + longest(groups, i)).alias("end")),
+        )
+        none = F.array().cast("array<struct<at:int,end:int>>")
+
+        def pick(s: Column, x: Column) -> Column:
+            free = F.when(F.size(s) > 0, F.element_at(s, -1)["end"]).otherwise(0)
+            return F.when(x["at"] >= free, F.concat(s, F.array(x))).otherwise(s)
+
+        return F.aggregate(F.filter(found, lambda x: x["end"] > x["at"]), none, pick)
+
+    def laid(s: Column) -> Column:
+        groups, cards = s["groups"], s["cards"]
+
+        def text(start: Column, end: Column) -> Column:
+            return F.array_join(F.slice(groups, start + 1, end - start), "")
+
+        def piece(x: Column, k: Column) -> Column:
+            before = F.when(k > 0, F.get(cards, k - 1)["end"]).otherwise(0)
+            card = text(x["at"], x["end"])
+            # The separator behind the last group is not the card's.
+            return F.concat(
+                _pieces(text(before, x["at"]), False), _pieces(F.rtrim(card, F.lit(" -")), True),
+                _pieces(F.regexp_extract(card, "[\\x20-]?$", 0), False),
+            )
+
+        tail = F.element_at(cards, -1)["end"]
+        return F.concat(F.flatten(F.transform(cards, piece)), _pieces(text(tail, F.size(groups)), False))
+
+    groups = F.regexp_extract_all(run, F.lit("[0-9]+[\\x20-]?"), 0)
+    cut = F.transform(F.array(groups), lambda g: F.struct(g.alias("groups"), picked(g).alias("cards")))
+    return F.transform(cut, lambda s: F.when(F.size(s["cards"]) > 0, laid(s)).otherwise(_pieces(run, False)))[0]
+
+
 def _phone(value: Column, key: str) -> Column:
     """The country code stays."""
     code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[\x20.(-])", 0)
@@ -294,6 +362,11 @@ def pseudonym(value: Column, key: str) -> Column:
     return found.otherwise(value)
 
 
+def values_of(found: Column) -> Column:
+    """Pieces of a found text: itself as one value, or the cards of a run of digits."""
+    return F.when(found.rlike(_whole(CARD)), _cards_of(found)).otherwise(_pieces(found, True))
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and the count of changes in ``n_replaced``.
 
@@ -307,15 +380,19 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     column ``n_replaced`` of ``docs`` is replaced, all others are kept.
     """
     column = F.col(f"`{text}`")
-    parts, found, fresh = (free_name(docs, n) for n in ("_parts", "_found", "_fresh"))
+    found, pieces, fresh = (free_name(docs, n) for n in ("_found", "_pieces", "_fresh"))
     hit = column.rlike(NEEDED)
     cut = docs.withColumn(found, F.when(hit, F.regexp_extract_all(column, F.lit(ANY), 0)))
     cut = cut.withColumn(found, F.when(F.size(found) > 0, F.col(found)))
-    cut = cut.withColumn(fresh, F.transform(found, lambda value: pseudonym(value, key)))
-    cut = cut.withColumn(parts, F.when(F.col(found).isNotNull(), F.split(column, ANY, -1)))
-    pairs = F.zip_with(parts, fresh, lambda p, f: F.concat(p, F.coalesce(f, F.lit(""))))
-    changes = F.size(F.filter(F.zip_with(found, fresh, lambda a, b: a != b), lambda x: x))
-    changed = F.when(F.col(found).isNotNull(), F.array_join(pairs, "")).otherwise(column)
+    parts = F.when(F.col(found).isNotNull(), F.split(column, ANY, -1))
+    cut = cut.withColumn(pieces, F.flatten(F.zip_with(parts, found, lambda p, f: F.concat(
+        _pieces(p, False), F.when(f.isNull(), _pieces(F.lit(""), False)).otherwise(values_of(f))
+    ))))
+    # A piece that stays has no pseudonym.
+    cut = cut.withColumn(fresh, F.transform(pieces, lambda x: F.when(x["hit"], pseudonym(x["t"], key))))
+    texts = F.zip_with(pieces, fresh, lambda x, f: F.coalesce(f, x["t"]))
+    changes = F.size(F.filter(F.zip_with(pieces, fresh, lambda x, f: x["t"] != f), lambda x: x))
+    changed = F.when(F.col(found).isNotNull(), F.array_join(texts, "")).otherwise(column)
     return cut.select(
         *[changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c.lower() != "n_replaced"],
         F.coalesce(F.when(F.col(found).isNotNull(), changes), F.lit(0)).cast("bigint").alias("n_replaced"),

@@ -216,3 +216,21 @@ def test_no_python_in_native_queries(spark, sf_dir):
     for name in ("op6_shards", "op8_mixture", "op9_pseudonyms"):
         plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def replaced(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return sorted(pii.pseudonymise(df, "k").collect())
+
+
+def test_cards_beside_other_numbers(spark):
+    card = "4111111111111111"
+    texts = [card, card + " 12/25", "4111 1111 1111 1111 123", "2024 4111 1111 1111 1111", f"{card} 5500-0000-0000-0004",
+             f"{card} 12abc", f"{card} 1984-02-29", f"{card} 555-123-4567", "4111 1111 1111 1112 77", "1-" * 20_000 + "1"]
+    rows = replaced(spark, texts)
+    fresh = rows[0].text
+    spaced = " ".join(fresh[i : i + 4] for i in range(0, 16, 4))
+    assert fresh != card and luhn(fresh) and [r.n_replaced for r in rows[:9]] == [1, 1, 1, 1, 2, 1, 2, 2, 0]
+    assert [rows[i].text for i in (1, 2, 3, 5)] == [f"{fresh} 12/25", f"{spaced} 123", f"2024 {spaced}", f"{fresh} 12abc"]
+    assert all(rows[i].text.startswith(fresh + " ") for i in (4, 6, 7)) and luhn(re.sub(r"\D", "", rows[4].text[17:]))
+    assert rows[8].text == texts[8]
