@@ -17,9 +17,20 @@ ROUNDS = 8
 # What is looked for; every alternative decides at a character within a bounded
 # number of steps, so very long texts cost no more per character than short ones.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}"
+# A value goes on to its closing quote or to white space, without an upper bound. Possessive
+# runs are read in a loop and never given back. An unquoted value ends before a quote that
+# closes something around it, before the next name in a list and before a tag; it needs a
+# digit, unless it is longer than any word.
+SECRET_NAME = (
+    r"(?i:password|passwd|pwd|secret|token|api[_-]?key)(?:\\?[\x22'])?[\x20\t]{0,3}[=:][\x20\t]{0,3}"
+)
+SECRET_TEXT = (
+    r"(?:[^\s\x22'&;,<]|[\x22'](?![,;:}\])>\s]|$)|[&;,](?![A-Za-z_][A-Za-z0-9_-]{0,31}[\x22']?[=:])"
+    r"|<(?!/?[A-Za-z][A-Za-z0-9]{0,15}[\x20]?/?>)){8,}+"
+)
 SECRET = (
-    r"(?i:password|passwd|pwd|secret|token|api[_-]?key)[\x20\t]{0,3}[=:][\x20\t]{0,3}[\x22']?"
-    r"(?=[A-Za-z0-9+/_-]{0,63}[0-9])[A-Za-z0-9+/_-]{8,256}+"
+    rf"{SECRET_NAME}(?:\x22(?:[^\x22\\\r\n]|\\.)++|'(?:[^'\\\r\n]|\\.)++|\\[\x22'][^\x22'\\\r\n]++"
+    rf"|(?![\x22'\\])(?=[^\s0-9]{{0,255}}+[0-9]|\S{{256}}){SECRET_TEXT})"
 )
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 DATE = r"(?<![0-9A-Za-z.,/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])"
@@ -38,7 +49,7 @@ KINDS = {
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in KINDS.values())
 #: No alternative matches a text without one of these.
-NEEDED = r"[0-9@]"
+NEEDED = r"[0-9@]|(?i:passw|pwd|secret|token|api[_-]?key)"
 
 # The days that are taken for personal dates, and the area numbers
 # that are never issued.
@@ -317,12 +328,16 @@ def permuted_text(value: Column, key: str, tag: str) -> Column:
         value.rlike(f"^[{_HEX}]+$").alias("is_hex"),
     )
 
-    def shifted(text: Column, stream: Column, is_hex: Column) -> Column:
-        def one(c: Column, j: Column) -> Column:
-            octet = F.substr(stream, (F.pmod(j, F.lit(64)) * 2 + 1).cast("int"), F.lit(2))
-            return _moved_on(c, F.conv(octet, 16, 10).cast("int"), is_hex)
+    def shifted(text: Column, digest: Column, is_hex: Column) -> Column:
+        def moved(stream: Column) -> Column:
+            def one(c: Column, j: Column) -> Column:
+                octet = F.substr(stream, (F.pmod(j, F.lit(64)) * 2 + 1).cast("int"), F.lit(2))
+                return _moved_on(c, F.conv(octet, 16, 10).cast("int"), is_hex)
+
+            return F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), 0), one), "")
 
-        return F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), 0), one), "")
+        # The digest is taken once, not once per character.
+        return F.transform(F.array(digest), moved)[0]
 
     def turn(s: Column, i: Column) -> Column:
         on_left = i % 2 == 1
@@ -345,9 +360,12 @@ def _email(value: Column, key: str) -> Column:
 
 
 def _secret(value: Column, key: str) -> Column:
-    """What stands after the equals sign or colon."""
-    name = F.regexp_extract(value, r"^[^=:]*[=:][\x20\t]{0,3}[\x22']?", 0)
-    return F.concat(name, permuted_text(F.substr(value, F.length(name) + 1), key, "secret"))
+    """What stands after the equals sign or colon; marks behind an unquoted value are not part of it."""
+    name = F.regexp_extract(value, rf"^{SECRET_NAME}(?:\\?[\x22'])?", 0)
+    rest = F.substr(value, F.length(name) + 1)
+    quoted = F.substr(name, F.length(name)).isin('"', "'")
+    secret = F.when(quoted, rest).otherwise(F.rtrim(rest, F.lit(".,;:!?)]}>\"'")))
+    return F.concat(name, permuted_text(secret, key, "secret"), F.substr(rest, F.length(secret) + 1))
 
 
 def pseudonym(value: Column, key: str) -> Column:

@@ -234,3 +234,23 @@ def test_cards_beside_other_numbers(spark):
     assert [rows[i].text for i in (1, 2, 3, 5)] == [f"{fresh} 12/25", f"{spaced} 123", f"2024 {spaced}", f"{fresh} 12abc"]
     assert all(rows[i].text.startswith(fresh + " ") for i in (4, 6, 7)) and luhn(re.sub(r"\D", "", rows[4].text[17:]))
     assert rows[8].text == texts[8]
+
+
+def test_whole_secrets(spark):
+    long = "0a1b2c3d4e5f6789" * 25
+    texts = [f"token={long} on", "token=eyJhbGciOi9.eyJzdWIiOiIx.c2ln-bmF0_dXJl== on", '{"password": "abc12345", "n": 1}',
+             "password: hunter2!x9, then", 'api_key="correct horse"', "token=abc12345&user=bob token=abc12345.", r'\"pwd\": \"abc12345\"',
+             "password: required here", "token=" + "x" * 300, "token=" * 50_000, "token: bob@example.org", '"secret":"a\\"b1"']
+    rows = replaced(spark, texts)
+    hidden = [re.sub("[A-Za-z0-9]", "a", t) for t in (rows[0].text, texts[0])]
+    assert hidden[0] == hidden[1] and rows[0].text[6:20] != long[:14] and rows[0].text[300:406] != texts[0][300:406]
+    parts = [r.text[6:-3].split(".") for r in rows[1:2]][0]
+    assert len(parts) == 3 and all(p not in texts[1] for p in parts) and rows[1].text.endswith("== on")
+    assert re.fullmatch(r'\{"password": "[a-z0-9]{8}", "n": 1\}', rows[2].text) and "abc12345" not in rows[2].text
+    assert re.fullmatch(r"password: [a-z]{6}\d![a-z]\d, then", rows[3].text) and "hunter" not in rows[3].text
+    assert re.fullmatch(r'api_key="[a-z]{7} [a-z]{5}"', rows[4].text) and "horse" not in rows[4].text
+    a, b = re.fullmatch(r"token=(\w{8})&user=bob token=(\w{8})\.", rows[5].text).groups()
+    assert a == b != "abc12345" and "abc12345" not in rows[6].text and rows[6].text.startswith(r'\"pwd\": \"')
+    assert rows[7].text == texts[7] and "x" * 100 not in rows[8].text and rows[9].text is not None
+    assert "bob@" not in rows[10].text and "b1" not in rows[11].text
+    assert [r.n_replaced for r in rows[:8]] == [1, 1, 1, 1, 1, 2, 1, 0]
