@@ -33,11 +33,27 @@ SECRET = (
     rf"|(?![\x22'\\])(?=[^\s0-9]{{0,255}}+[0-9]|\S{{256}}){SECRET_TEXT})"
 )
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
-DATE = r"(?<![0-9A-Za-z.,/-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-])"
+# A time may follow an ISO date.
+DATE = (
+    r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=[Tt][0-9]{2}|[Zz](?![0-9A-Za-z])|(?![0-9A-Za-z/-]))"
+    r"|(?:[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-]))"
+)
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
+# What a number behind a plus sign does not run into: a date, or a card.
+_APART = (
+    rf"(?![\x20-](?:{DATE}|[0-9]{{13,19}}(?![0-9])|[0-9]{{4}}(?:[\x20-][0-9]{{4}}){{3}}|[0-9]{{4}}[\x20-][0-9]{{6}}[\x20-][0-9]{{5}}))"
+)
+_NANP = r"(?:\([0-9]{3}\)|[0-9]{3})[\x20.-]?[0-9]{3}[\x20.-]?[0-9]{4}"
+_GAP = r"(?:[\x20./-]|[\x20.-]?\(|\)[\x20.-]?)?"
 PHONE = (
-    r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})|\([0-9]{3}\)|[0-9]{3}(?=[.-]))"
-    r"[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9A-Za-z])"
+    rf"(?<![0-9A-Za-z+])(?:\+1[\x20.-]?{_NANP}|\+(?!1[\x20.-]?{_NANP}(?![0-9A-Za-z]))[1-9](?:{_APART}{_GAP}[0-9]){{6,14}}"
+    r"|(?:\+[0-9]{1,3}[\x20.-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})|\([0-9]{3}\)|[0-9]{3}(?=[.-]))"
+    r"[\x20.-]?[0-9]{3,4}[\x20.-]?[0-9]{3,4})(?![0-9A-Za-z])"
+)
+# National numbers, which cards are looked for before: ten digits, whole or with spaces, or behind a trunk zero.
+LOCAL = (
+    r"(?<![0-9A-Za-z+])(?<![0-9][.,])(?:1?[2-9][0-9]{9}|[2-9][0-9]{2}\x20[0-9]{3}[\x20.-][0-9]{4}"
+    r"|0[1-9](?:\x20?[0-9]){6,10}|0[1-9][0-9]{1,3}[/-][0-9]{3,8}(?:\x20[0-9]{2,5})?)(?![0-9A-Za-z]|[.,][0-9])"
 )
 # A run of digit groups, in which cards are looked for; it ends before a date, number or phone of its own.
 CARD = (
@@ -46,6 +62,7 @@ CARD = (
 )
 KINDS = {
     "email": EMAIL, "secret": SECRET, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD,
+    "local": LOCAL,
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in KINDS.values())
 #: No alternative matches a text without one of these.
@@ -54,7 +71,7 @@ NEEDED = r"[0-9@]|(?i:passw|pwd|secret|token|api[_-]?key)"
 # The days that are taken for personal dates, and the area numbers
 # that are never issued.
 FIRST_DAY, DAYS = "1900-01-01", 73_049
-DAY_PARTS = (229, 319)
+DAY_PARTS, DAY_STEPS = (229, 319), 128
 CARD_DIGITS = (13, 19)
 SSN_AREAS, SSN_SKIPPED = 898, 666
 
@@ -255,30 +272,58 @@ def _ipv4(value: Column, key: str) -> Column:
     return F.when(valid, fresh).otherwise(value)
 
 
+def _moved_day(number: Column, key: str) -> Column:
+    """Another day of the domain, after the 12th of its month if this one is.
+
+    The network is applied again until it comes to such a day, which permutes those
+    days among themselves. So a date that is no MM/dd is never written as one that
+    could be, and equal dates stay equal in all layouts.
+    """
+    lefts, rights = DAY_PARTS
+
+    def late(n: Column) -> Column:
+        return F.day(F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))) > 12
+
+    def step(s: Column, _: Column) -> Column:
+        moved = feistel(F.floor(s["n"] / rights), s["n"] % rights, F.lit(lefts), F.lit(rights), key, "date")
+        fresh = F.transform(F.transform(F.array(moved), lambda m: m["l"] * rights + m["r"]), lambda n: F.struct(
+            n.alias("n"), s["late"].alias("late"), ((n < DAYS) & (late(n) == s["late"])).alias("done")
+        ))[0]
+        return F.when(s["done"], s).otherwise(fresh)
+
+    start = F.struct(number.cast("bigint").alias("n"), late(number).alias("late"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(DAY_STEPS)), start, step, lambda s: s["n"])
+
+
 def _date(value: Column, key: str) -> Column:
-    """Days from 1900 to 2099, in the order of year, month and day that they are written in."""
+    """Days from 1900 to 2099, in the order of year, month and day that they are written in.
+
+    With slashes the month is first unless that gives no date.
+    """
+    def read(layout: str) -> Column:
+        return F.try_to_timestamp(value, F.lit(layout)).cast("date")
+
     layout = (
-        F.when(value.contains("-"), "yyyy-MM-dd").when(value.contains("."), "dd.MM.yyyy").otherwise("MM/dd/yyyy")
+        F.when(value.contains("-"), "yyyy-MM-dd").when(value.contains("."), "dd.MM.yyyy")
+        .when(read("MM/dd/yyyy").isNotNull(), "MM/dd/yyyy").otherwise("dd/MM/yyyy")
     )
-    day = (
-        F.when(value.contains("-"), F.try_to_timestamp(value, F.lit("yyyy-MM-dd")))
-        .when(value.contains("."), F.try_to_timestamp(value, F.lit("dd.MM.yyyy")))
-        .otherwise(F.try_to_timestamp(value, F.lit("MM/dd/yyyy")))
-    ).cast("date")
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    valid = F.coalesce((number >= 0) & (number < DAYS), F.lit(False))
-    lefts, rights = DAY_PARTS
-    moved = feistel(F.floor(number / rights), number % rights, F.lit(lefts), F.lit(rights), key, "date")
-    fresh = F.transform(
-        F.array(moved),
-        lambda m: F.date_add(F.lit(FIRST_DAY).cast("date"), (m["l"] * rights + m["r"]).cast("int")),
-    )[0]
-    written = (
-        F.when(layout == "yyyy-MM-dd", F.date_format(fresh, "yyyy-MM-dd"))
-        .when(layout == "dd.MM.yyyy", F.date_format(fresh, "dd.MM.yyyy"))
-        .otherwise(F.date_format(fresh, "MM/dd/yyyy"))
-    )
-    return F.when(valid, written).otherwise(value)
+    layouts = ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy", "dd/MM/yyyy")
+
+    def replaced(s: Column) -> Column:
+        number = s["number"]
+        valid = F.coalesce((number >= 0) & (number < DAYS), F.lit(False))
+        written = F.transform(
+            F.array(_moved_day(number, key)),
+            lambda n: F.coalesce(*[
+                F.when(s["layout"] == x, F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int")), x))
+                for x in layouts
+            ]),
+        )[0]
+        return F.when(valid, written).otherwise(value)
+
+    day = F.coalesce(*[F.when(layout == x, read(x)) for x in layouts])
+    start = F.struct(F.datediff(day, F.lit(FIRST_DAY).cast("date")).alias("number"), layout.alias("layout"))
+    return F.transform(F.array(start), replaced)[0]
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -372,6 +417,7 @@ def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one found value; a number or date that is not valid stays as it is."""
     makers = {
         "email": _email, "secret": _secret, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card,
+        "local": _phone,
     }
     found = None
     for kind, pattern in KINDS.items():
@@ -380,9 +426,20 @@ def pseudonym(value: Column, key: str) -> Column:
     return found.otherwise(value)
 
 
+def _locals_of(piece: Column) -> Column:
+    """Pieces of what a run holds besides cards: its national phone numbers and the rest."""
+    between, found = F.split(piece, LOCAL, -1), F.regexp_extract_all(piece, F.lit(LOCAL), 0)
+    return F.flatten(F.zip_with(between, found, lambda p, f: F.concat(
+        _pieces(p, False), F.when(f.isNull(), _pieces(F.lit(""), False)).otherwise(_pieces(f, True))
+    )))
+
+
 def values_of(found: Column) -> Column:
-    """Pieces of a found text: itself as one value, or the cards of a run of digits."""
-    return F.when(found.rlike(_whole(CARD)), _cards_of(found)).otherwise(_pieces(found, True))
+    """Pieces of a found text: itself as one value, or the cards and phone numbers of a run of digits."""
+    run = F.flatten(F.transform(
+        _cards_of(found), lambda x: F.when(x["hit"], F.array(x)).otherwise(_locals_of(x["t"]))
+    ))
+    return F.when(found.rlike(_whole(CARD)), run).otherwise(_pieces(found, True))
 
 
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:

@@ -254,3 +254,28 @@ def test_whole_secrets(spark):
     assert rows[7].text == texts[7] and "x" * 100 not in rows[8].text and rows[9].text is not None
     assert "bob@" not in rows[10].text and "b1" not in rows[11].text
     assert [r.n_replaced for r in rows[:8]] == [1, 1, 1, 1, 1, 2, 1, 0]
+
+
+def test_dates_and_phones_in_more_layouts(spark):
+    dates = ["1990-05-12T10:00:00Z", "a,1990-05-12,b", "25/12/1999", "on 1990-05-12", "1999-12-25", "32/12/1999"]
+    phones = ["555 123 4567", "030 1234567", "5551234567", "+33 1 23 45 67 89", "01 23 45 67 89", "+49 30 1234567 4111 1111 1111 1111",
+              "4111 1111 1111 1111 030 1234567"]
+    plain = ["1700000000", "12 345 678", "pages 100 200 300", "1,234567890.55"]
+    rows = replaced(spark, dates + phones + plain)
+    fresh = rows[3].text[3:]
+    assert fresh != "1990-05-12" and rows[0].text == fresh + "T10:00:00Z" and rows[1].text == f"a,{fresh},b"
+    y, m, d = rows[4].text.split("-")
+    assert rows[2].text == f"{d}/{m}/{y}" != dates[2] and int(d) > 12 and rows[5].text == dates[5]
+    for r, t in zip(rows[6:13], phones):
+        assert r.text != t and re.sub("[0-9]", "0", r.text) == re.sub("[0-9]", "0", t) and r.n_replaced == (2 if "4111" in t else 1)
+    assert rows[9].text.startswith("+33 ") and rows[10].text != phones[4]
+    card = re.search(r"[0-9]{4}( [0-9]{4}){3}$", rows[11].text)[0]
+    assert rows[12].text.startswith(card) and rows[12].text.endswith(rows[7].text)
+    assert [r.text for r in rows[13:]] == plain
+
+
+def test_every_date_has_its_own(spark):
+    n = F.col("id").cast("int")
+    days = spark.range(0, pii.DAYS).repartition(8).select(F.date_format(F.date_add(F.lit(pii.FIRST_DAY).cast("date"), n), "yyyy-MM-dd").alias("t"))
+    found = days.select(pii.pseudonym(F.col("t"), "k").alias("p")).agg(F.count_distinct("p"), F.min("p"), F.max("p")).first()
+    assert tuple(found) == (pii.DAYS, "1900-01-01", "2099-12-31")
