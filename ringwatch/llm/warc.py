@@ -30,7 +30,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MIN_REVISIT_BYTES = 100
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
-#: Decoded bytes in which a header must end.
+#: Bytes that are decoded at first to look for a header; a longer one is read on.
 HEADER_BYTES = 1 << 16
 
 
@@ -157,21 +157,6 @@ def _fields(head: bytes) -> dict[str, str]:
     return found
 
 
-def _header_at(data: bytes) -> tuple[dict[str, str], int] | None:
-    """The WARC fields and the length of the header, if ``data`` opens a record's member."""
-    try:
-        text = zlib.decompressobj(wbits=31).decompress(data, HEADER_BYTES)
-    except zlib.error:
-        return None
-    end = text.find(CRLF + CRLF)
-    if not text.startswith(b"WARC/") or end < 0:
-        return None
-    fields = _fields(text[:end])
-    if "warc-type" not in fields or not fields.get("content-length", "").isdigit():
-        return None
-    return fields, end + 4
-
-
 class _Window:
     """A file read forward in pieces, from which earlier bytes can be let go."""
 
@@ -192,6 +177,33 @@ class _Window:
         self.data, self.at = self.data[at - self.at :], at
 
 
+def _header_at(window: _Window, at: int) -> tuple[dict[str, str], int] | None:
+    """The WARC fields and the length of the header, if a record's member is at ``at``, however long its header."""
+    inflate, text, end, place = zlib.decompressobj(wbits=31), b"", -1, at
+    while end < 0:
+        data = inflate.unconsumed_tail
+        if not data:
+            window.need(place + HEADER_BYTES)
+            data = window.data[place - window.at : place - window.at + HEADER_BYTES]
+            place += len(data)
+        if not data:
+            raise EOFError(f"the archive ends inside the header at byte {at}")
+        seen = max(len(text) - 3, 0)
+        try:
+            text += inflate.decompress(data, max(len(text), HEADER_BYTES))
+        except zlib.error:
+            return None
+        if not text.startswith(b"WARC/"):
+            return None
+        end = text.find(CRLF + CRLF, seen)
+        if end < 0 and inflate.eof:
+            return None
+    fields = _fields(text[:end])
+    if "warc-type" not in fields or not fields.get("content-length", "").isdigit():
+        return None
+    return fields, end + 4
+
+
 def _member(window: _Window, at: int) -> tuple[bytes, int]:
     """The decoded member at ``at`` and the place after it."""
     inflate, parts, place = zlib.decompressobj(wbits=31), [], at
@@ -226,8 +238,7 @@ def scan_range(file, start: int, end: int) -> Iterator[tuple[int, dict[str, str]
         if at >= end:
             return
         window.skip_to(at)
-        window.need(at + HEADER_BYTES)
-        found = _header_at(window.data[:HEADER_BYTES])
+        found = _header_at(window, at)
         if not found:
             at += 1
             continue

@@ -88,3 +88,24 @@ def test_a_torn_archive_is_an_error():
 
 def test_query(spark, sf_dir):
     assert queries.op1_warc(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_a_header_of_any_length(level):
+    data, starts = b"", []
+    for n in (10, 65_300, 65_536, 400_000, 3_000_000):
+        url = "".join(random.Random(n).choices("abcdefghij", k=n))
+        head = f"WARC/1.1\r\nWARC-Target-URI: {url}\r\nWARC-Type: response\r\nContent-Length: 4\r\n\r\n".encode()
+        starts.append((len(data), n))
+        data += gzip.compress(head + b"body\r\n\r\n", compresslevel=level, mtime=0)
+    found = [(at, len(f["warc-target-uri"])) for a in range(0, len(data), 50_000)
+             for at, f, body in warc.scan_range(io.BytesIO(data), a, min(a + 50_000, len(data))) if body == b"body"]
+    assert found == starts
+    with pytest.raises(EOFError):
+        list(warc.scan_range(io.BytesIO(data[: starts[-1][0] + 300_000]), 0, len(data)))
+    assert list(warc.scan_range(io.BytesIO(gzip.compress(b"WARC/1.1\r\n" * 90_000)), 0, 10_000)) == []
+
+
+def test_a_very_long_url_comes_back(spark):
+    df = spark.createDataFrame([(1, "http://h/" + "x%7" * 200_000, "p" * 200), (2, "u", "q")], "page_id long, url string, html string")
+    assert sorted(r.page_id for r in warc.round_trip(df).collect()) == [1, 2]
