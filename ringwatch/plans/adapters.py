@@ -124,8 +124,9 @@ def snapshot_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``documents`` as posts; every third one opens with two mentions."""
-    opening = F.concat(F.lit("@"), F.col("source"), F.lit(" @"), F.col("lang"), F.lit(" "))
+    """``documents`` as posts; every third one opens with two mentions, less those whose label is null."""
+    mentions = [F.coalesce(F.concat(F.lit("@"), F.col(c), F.lit(" ")), F.lit("")) for c in ("source", "lang")]
+    opening = F.concat(*mentions)
     text = F.concat(F.when(F.col("doc_id") % 3 == 0, opening).otherwise(F.lit("")), F.col("text"))
     return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("source").alias("user"), text.alias("text"), F.lit("2024-01-01").alias("date")

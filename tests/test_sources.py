@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from ringwatch.functions import text as T
 from ringwatch.functions.prices import body_pct, is_body_pump
 from ringwatch.sinks.topics import topic_records
+from ringwatch.plans import adapters
 from ringwatch.sources import csvfiles, events, ohlcv, snapshots, stats, tweets
 
 
@@ -120,3 +121,12 @@ def test_snapshots(spark):
 def test_kafka_options():
     assert events.kafka_options("h:1")["startingOffsets"] == "earliest"
     assert events.kafka_options("h:1", "a,b")["subscribe"] == "a,b"
+
+
+def test_a_null_label_never_erases_a_post(spark, tmp_path):
+    rows = [(0, "go $BTC @bob", "en", "web"), (3, "go $BTC @bob", None, "web"), (6, "go $BTC @bob", "en", None),
+            (9, "go $BTC @bob", None, None), (12, None, "en", "web"), (1, "go", None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.text for r in adapters.posts(spark, str(tmp_path)).collect()}
+    text = "go $BTC @bob"
+    assert found == {0: f"@web @en {text}", 3: f"@web {text}", 6: f"@en {text}", 9: text, 12: None, 1: "go"}
