@@ -20,6 +20,8 @@ REFERENCES = 16
 #: Fingerprints compared with one another in one step; larger buckets are cut into parts of about this.
 PART = 512
 BLOCKS_PER_TASK = 2000
+#: A driver keeps no more tasks than this in hand; beyond it each of them compares more.
+MOST_TASKS = 100_000
 #: Shingles hashed before their bits are counted.
 STEP = 1 << 16
 
@@ -159,8 +161,10 @@ def close_links(prints: DataFrame, bits: int, scratch: Scratch, part: int = PART
         .agg(F.collect_list("fps").alias("parts"))
         .select("parts")
     )
-    # A few bytes of fingerprints are much work, so tasks are cut by number, not by size.
-    tasks = 1 + blocks.count() // BLOCKS_PER_TASK
+    # A few bytes of fingerprints are much work, so tasks are cut by the number of comparisons, not by size.
+    of = F.ceil(F.col("n") / part)
+    steps = buckets.agg(F.sum(F.when(of > 1, of * (of + 1) / 2).otherwise(1))).first()[0]
+    tasks = min(1 + int(steps or 0) // BLOCKS_PER_TASK, MOST_TASKS)
     dealt = whole.unionByName(pairs).repartition(tasks)
     return dealt.mapInPandas(lambda b: _connect(b, bits), "a long, b long").distinct()
 

@@ -112,3 +112,11 @@ def test_masks_cover():
         diff = sum(1 << b for b in r.sample(range(64), 4))
         assert any(diff & (m % (1 << 64)) == 0 for m in masks)
     assert len(masks) == 15
+
+
+def test_tasks_follow_the_pairs_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCKS_PER_TASK", 10)
+    links = simhash.close_links(spark.range(200).toDF("fp"), 4, Scratch(spark), part=10)
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    # Of 15 masks, 10 leave all 200 in one bucket of 20 parts, which is 210 pairs.
+    assert int(re.search(r"Repartition (\d+), true", plan)[1]) > 10 * 210 // 10
