@@ -1,6 +1,6 @@
 """Phrase collocations: Misra-Gries summaries per hash partition, then an exact count of what survives.
 
-The first pass knows n-grams by a 64-bit hash, whose upper bits name a hash partition. Tasks
+The first pass knows n-grams by a 64-bit hash: the upper half names a hash partition, the lower half the n-gram in it. Tasks
 summarise their own texts, and the summaries of a partition are merged at a capacity beyond the
 partition's mass divided by the threshold, so no n-gram of that frequency is lost. What survives
 is a bit map. The second pass counts the n-grams whose bit is set, as texts, and drops those that
@@ -23,11 +23,13 @@ GAPS = b" \x09"
 UNKNOWN_LANG = "und"
 
 #: Bytes of text that are hashed at once.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 #: Summary entries that a task holds before it hands them on.
 HELD = 1 << 20
+#: A counted hash of a partition is known by as many of its lower bits.
+KEY_BITS = 32
 #: Bytes of text for each hash partition; at most 1.5 n-grams of up to three words start at a byte.
-PARTITION_BYTES = 32 << 20
+PARTITION_BYTES = 8 << 20
 LEAST_PARTITIONS = 8
 #: Bits of all maps together, which are broadcast.
 MOST_BITS = 1 << 28
@@ -205,6 +207,16 @@ class MisraGries:
         return self.keys[self.counts + self.taken_off >= threshold]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts of one, two or eight bytes each, whichever holds the largest."""
+    most = int(counts.max())
+    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int64).tobytes()
+
+
+def _unpacked(counts: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(counts, {1: np.uint8, 2: np.uint16, 8: np.int64}[len(counts) // size]).astype(np.int64)
+
+
 SUMMARY = "part int, mass long, keys binary, counts binary"
 
 
@@ -214,10 +226,11 @@ def _summaries(partitions: int, longest: int):
     def rows(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         parts, first = np.unique(partition_of(keys, partitions), return_index=True)
         ends = np.append(first[1:], len(keys))
+        short = (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
         yield pa.RecordBatch.from_arrays([
             pa.array(parts.astype(np.int32)), pa.nulls(len(parts), pa.int64()),
-            pa.array([keys[a:z].tobytes() for a, z in zip(first, ends)], pa.binary()),
-            pa.array([counts[a:z].tobytes() for a, z in zip(first, ends)], pa.binary()),
+            pa.array([short[a:z].tobytes() for a, z in zip(first, ends)], pa.binary()),
+            pa.array([_packed(counts[a:z]) for a, z in zip(first, ends)], pa.binary()),
         ], names=["part", "mass", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +284,8 @@ def _survivors(threshold: int, most_bits: int):
                     mass += row["mass"]
                     continue
                 summary = summary or MisraGries(mass // threshold + 1)
-                summary.add(np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64))
+                keys = np.frombuffer(row["keys"], np.uint32).astype(np.uint64)
+                summary.add(keys, _unpacked(row["counts"], len(keys)))
         if summary:
             yield pa.RecordBatch.from_pydict({"part": pa.array([current], pa.int32()), "bits": [bits(summary)]})
 
