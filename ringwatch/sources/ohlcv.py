@@ -8,6 +8,7 @@ from ringwatch.functions.text import file_symbol, resolved_symbol
 from ringwatch.params import DEFAULTS
 from ringwatch.schemas import PRICE_EVENT
 from ringwatch.sources.csvfiles import merge, read_csv_files
+from ringwatch.sources.ranges import RANGE_BYTES
 
 # Accepted column names, and the event's source.
 EXACT = {
@@ -48,9 +49,11 @@ def resolve(df: DataFrame) -> DataFrame:
     return df.select(*picked, symbol.alias("symbol"), "_file")
 
 
-def read_ohlcv(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+def read_ohlcv(
+    spark: SparkSession, files: list[str] | DataFrame, range_bytes: int = RANGE_BYTES
+) -> DataFrame | None:
     """Candles as text under canonical names, or None when no file is readable."""
-    frames = [resolve(df) for df in read_csv_files(spark, paths, column_name)]
+    frames = [resolve(df) for df in read_csv_files(spark, files, column_name, range_bytes=range_bytes)]
     return merge(frames) if frames else None
 
 

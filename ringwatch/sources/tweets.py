@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ringwatch.functions.text import account, at_mentions, first_token, targets
 from ringwatch.schemas import SOCIAL_EVENT
 from ringwatch.sources.csvfiles import merge, read_csv_files, row_name
+from ringwatch.sources.ranges import RANGE_BYTES
 
 log = logging.getLogger(__name__)
 
@@ -55,12 +56,14 @@ def with_roles(df: DataFrame, row_id: Column, now: Column | None = None) -> Data
     )
 
 
-def read_tweets(spark: SparkSession, paths: list[str], now: Column | None = None) -> DataFrame | None:
+def read_tweets(
+    spark: SparkSession, files: list[str] | DataFrame, now: Column | None = None, range_bytes: int = RANGE_BYTES
+) -> DataFrame | None:
     """Posts of all files with a text column; malformed lines are dropped.
 
-    Texts may run over line ends, so every file is read by one task.
+    Texts may run over line ends; a file of any size is read by many tasks.
     """
-    groups = read_csv_files(spark, paths, column_name, drop_malformed=True, multiline=True)
+    groups = read_csv_files(spark, files, column_name, drop_malformed=True, range_bytes=range_bytes)
     posts = [with_roles(df, row_name(df), now) for df in groups]
     posts = [p for p in posts if p is not None]
     return merge(posts) if posts else None
