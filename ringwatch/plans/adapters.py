@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.functions.times import week_of
 from ringwatch.schemas import EVENT, PRICE_EVENT, SOCIAL_EVENT
+from ringwatch.session import Scratch
 
 #: Spark's own size of a file split.
 SPLIT_BYTES = 128 << 20
@@ -131,3 +132,45 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.col("source").alias("user"), text.alias("text"), F.lit("2024-01-01").alias("date")
     )
+
+
+def _csv_files(frames: list[DataFrame], folder: str) -> DataFrame:
+    """The frames written as CSV files of a header each, all cells quoted: ``path, length`` of the files."""
+    spark = frames[0].sparkSession
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for i, df in enumerate(frames):
+        df.write.options(header=True, escape='"', quoteAll=True, **keep).csv(f"{folder}/{i}")
+    found = spark.read.format("binaryFile").options(pathGlobFilter="*.csv", recursiveFileLookup=True)
+    return found.load(folder).select("path", "length")
+
+
+def post_files(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFrame:
+    """The posts as CSV files of two headers, the day of each in one of four layouts."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 20000).cast("int"))
+    layouts = ["yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm", "MMM d HH:mm:ss Z yyyy", "d MMM yyyy"]
+    when = F.element_at(
+        F.array(*[F.date_format(day, layout) for layout in layouts]), (F.shiftright("doc_id", 1) % 4 + 1).cast("int")
+    )
+    dated = posts(spark, sf_dir).withColumn("date", when)
+    even = F.col("doc_id") % 2 == 0
+    frames = [
+        dated.filter(even).select(F.col("user").alias("User_Name"), "text", "date"),
+        dated.filter(~even).select(
+            F.col("date").alias("created"), F.lit("1").alias("likes"), F.col("text").alias("Content"), F.col("user").alias("author"),
+        ),
+    ]
+    return _csv_files(frames, f"{scratch.folder}/posts")
+
+
+def candle_files(spark: SparkSession, sf_dir: str, scratch: Scratch) -> DataFrame:
+    """The candles as CSV files of two headers with other names and another order, days in two layouts."""
+    candles = monthly_candles(spark, sf_dir)
+    even = F.substring("symbol", 2, 5).cast("int") % 2 == 0
+    frames = [
+        candles.filter(even).toDF("Symbol", "Date", "Open", "High", "Low", "Close", "Volume"),
+        candles.filter(~even).select(
+            F.col("volume").alias("Volume 24h"), F.col("close").alias("Close Price"), F.col("open").alias("Open Price"),
+            "high", "low", F.lower("symbol").alias("symbol"), F.date_format(F.col("date").cast("date"), "d.M.yyyy").alias("time"),
+        ),
+    ]
+    return _csv_files(frames, f"{scratch.folder}/candles")

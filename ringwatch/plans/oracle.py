@@ -198,7 +198,8 @@ _SKIP = (
 # The sharp s has two capital letters in one engine and one in the other.
 _POSTS = rf"""
 po AS (
-    SELECT doc_id, source, CASE WHEN doc_id % 3 = 0 THEN '@' || source || ' @' || lang || ' ' ELSE '' END || text AS t
+    SELECT doc_id, source, CASE WHEN doc_id % 3 = 0
+           THEN coalesce('@' || source || ' ', '') || coalesce('@' || lang || ' ', '') ELSE '' END || text AS t
     FROM documents
 ), wd AS (
     SELECT doc_id, source, regexp_split_to_array(t, '{_BLANK}') AS words,
@@ -324,6 +325,21 @@ SQL: dict[str, str] = {
                'tw_' || unnest(targets) AS target_user, 'tweet_mention' AS interaction_type,
                coalesce(tickers[1], '') AS token_mentioned, '2024-01-01' AS timestamp, 'kaggle_tweets' AS source
         FROM tg""",
+    "tweet_csv_edges": f"""{_with(_POSTS)}, tg AS (
+            SELECT *, CASE WHEN len(mentions) > 0 THEN mentions ELSE ['crypto_community'] END AS targets FROM tk
+        )
+        SELECT 'tw_' || source AS source_user, 'tw_' || unnest(targets) AS target_user,
+               coalesce(tickers[1], '') AS token_mentioned,
+               strftime(TIMESTAMP '2024-01-01' + to_days(CAST(doc_id % 20000 AS INTEGER)), '%Y-%m-%d') AS day
+        FROM tg""",
+    "ohlcv_csv_candles": f"""{_with(_CANDLES)}
+        SELECT symbol, CAST(month AS VARCHAR) AS day, open, high, low, close, volume,
+               CAST(abs(close - open) / open * 100 > 10 AS INTEGER) AS pumping
+        FROM cd""",
+    "alert_table_first": f"""{_with(*_DAY, _ALERTS)}
+        SELECT detected_at, alert_type, severity, confidence, social_edge_count, hub_node, node_count, edge_density,
+               price_corroborated, pumping_tokens
+        FROM (SELECT {_ALERT_COLUMNS} FROM (SELECT * FROM al WHERE severity IN ('CRITICAL', 'HIGH') ORDER BY {_NEWEST} LIMIT 50))""",
     "latest_alerts": f"""{_with(*_DAY, _ALERTS)}
         SELECT {_ALERT_COLUMNS} FROM (SELECT * FROM al ORDER BY {_NEWEST} LIMIT 300)""",
     "alert_kpis": f"""{_with(*_DAY, _ALERTS)}

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ringwatch.functions import text as T
 from ringwatch.functions.prices import body_pct
+from ringwatch.functions.times import parse_time
 from ringwatch.operators import alerts as A
 from ringwatch.operators import batches as B
 from ringwatch.operators import ego, graph, polls, quality, reports, rings
 from ringwatch.params import Params
 from ringwatch.plans import adapters
+from ringwatch.session import Scratch
 from ringwatch.sinks.topics import topic_records as to_topic
 from ringwatch.sources import events as E
 from ringwatch.sources import ohlcv, snapshots, stats, tweets
@@ -275,6 +277,26 @@ def tweet_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tweet_csv_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts written as CSV files of two headers and read back in byte ranges, their times parsed."""
+    files = adapters.post_files(spark, sf_dir, Scratch(spark))
+    edges = tweets.tweets_to_interactions(tweets.read_tweets(spark, files))
+    return edges.select(
+        "source_user", "target_user", F.coalesce("token_mentioned", F.lit("")).alias("token_mentioned"),
+        F.date_format(parse_time(F.col("timestamp")), "yyyy-MM-dd").alias("day"),
+    )
+
+
+def ohlcv_csv_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The candles written as CSV files of two headers and read back as one table."""
+    files = adapters.candle_files(spark, sf_dir, Scratch(spark))
+    candles = ohlcv.to_candles(ohlcv.read_ohlcv(spark, files))
+    return candles.select(
+        "symbol", F.date_format(parse_time(F.col("timestamp")), "yyyy-MM-dd").alias("day"),
+        "open", "high", "low", "close", "volume", F.col("pumping").cast("int").alias("pumping"),
+    )
+
+
 def _alerts(spark, sf_dir):
     return _detection(spark, sf_dir).alerts
 
@@ -305,6 +327,11 @@ def alert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_form(reports.alert_table(_alerts(spark, sf_dir), TIES))
 
 
+def alert_table_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as the dashboard shows it: its first 50 rows."""
+    return _alert_form(reports.alert_table(_alerts(spark, sf_dir), TIES, n=50))
+
+
 def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = [
         stats.dataset_stats(stats.per_file(adapters.table(spark, sf_dir, name)), name)
@@ -320,8 +347,8 @@ QUERIES: dict[str, Query] = {
         ring_alerts, ring_members, batch_summary, tumbling_summary, batch_confidence, alerts_enriched, batch_status,
         outcomes, running_quality, quality_snapshot, stored_snapshot, quality_epochs,
         candles_body_pump, ohlcv_headers_symbols, poll_spikes, snapshot_flatten, topic_records,
-        tweet_mentions, tweet_tokens, tweet_edges, latest_alerts, alert_kpis, alerts_by_type,
-        alerts_timeline, top_tokens, alert_table, dataset_stats,
+        tweet_mentions, tweet_tokens, tweet_edges, tweet_csv_edges, ohlcv_csv_candles, latest_alerts, alert_kpis,
+        alerts_by_type, alerts_timeline, top_tokens, alert_table, alert_table_first, dataset_stats,
     )
 }
 
