@@ -103,15 +103,28 @@ def detect(
     more than once; the rounds of the ring detector need them as tables.
     """
     scratch = scratch_for(events, scratch)
-    batch = [BATCH]
     events = events.withColumn(BATCH, F.struct(*keys))
-    links = scratch.cut(compact_links(interaction_edges(events, batch, seq), batch), "links")
+    links = compact_links(interaction_edges(events, [BATCH], seq), [BATCH])
+    return detect_links(links, batch_summary(events, [BATCH]), params, detected_at, rings, scratch)
+
+
+def detect_links(
+    links: DataFrame,
+    summary: DataFrame,
+    params: Params,
+    detected_at: Column | None,
+    rings: bool,
+    scratch: Scratch,
+) -> Detection:
+    """``detect`` from the distinct links and the summary of the batches, whose keys are the struct ``_batch``."""
+    batch = [BATCH]
+    links = scratch.cut(links, "links")
     found = detect_stars(links, batch, params.star_min_degree, params.star_ratio)
     if rings:
         dense = detect_rings(links, batch, params.ring_min_size, params.ring_density, scratch=scratch)
         found = found.unionByName(dense, allowMissingColumns=True)
     found = scratch.cut(found, "found")
-    scored = scratch.cut(score_batches(batch_summary(events, batch), found, batch, params), "scored")
+    scored = scratch.cut(score_batches(summary, found, batch, params), "scored")
     scored = scored.select(f"{BATCH}.*", "*")
     alerts = all_alerts(found, scored, batch, detected_at, params)
     return Detection(scored.drop(BATCH), alerts.select(f"{BATCH}.*", *ALERT.fieldNames()))

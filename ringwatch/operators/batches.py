@@ -17,19 +17,12 @@ def _all(*conditions):
     return result
 
 
-def batch_summary(events: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per batch from a single scan of its events.
-
-    Counts are first taken per batch and pumping symbol, where they combine map
-    side in plain hash aggregation; only the distinct symbols of a batch then
-    meet in its token list.
-    """
+def part_counts() -> list:
+    """Counts of a part of a batch, named for ``summary_of_parts``; plain sums and maxima, so parts can be streamed."""
     social = F.col("event_type") == SOCIAL_EVENT
     pumping = _all(F.col("event_type") == PRICE_EVENT, F.col("pumping"))
     named = _all(F.length("source_user") > 0, F.length("target_user") > 0)
-    per_symbol = events.groupBy(
-        *keys, F.when(pumping & (F.length("symbol") > 0), F.col("symbol")).alias("_symbol")
-    ).agg(
+    return [
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(social).alias("_social"),
         F.count_if(F.col("event_type") == PRICE_EVENT).alias("_price"),
@@ -37,8 +30,18 @@ def batch_summary(events: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if(_all(social, F.col("is_bot"))).alias("_bots"),
         F.max(pumping).alias("_pumping"),
         F.max(_all(social, F.col("pump_signal"))).alias("_truth"),
-    )
-    summary = per_symbol.groupBy(*keys).agg(
+    ]
+
+
+def pumping_symbol():
+    """The symbol of a pumping price, null for all other events."""
+    pumping = _all(F.col("event_type") == PRICE_EVENT, F.col("pumping"))
+    return F.when(pumping & (F.length("symbol") > 0), F.col("symbol")).alias("_symbol")
+
+
+def summary_of_parts(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per batch from parts of it, of which each symbol has one: ``_symbol`` and the ``part_counts``."""
+    summary = parts.groupBy(*keys).agg(
         F.sum("_rows").alias("event_count"),
         F.sum("_social").alias("social_count"),
         F.sum("_price").alias("price_count"),
@@ -52,6 +55,16 @@ def batch_summary(events: DataFrame, keys: list[str]) -> DataFrame:
     return summary.withColumn("gt_bot_ratio", F.coalesce(ratio, F.lit(0.0)))
 
 
+def batch_summary(events: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per batch from a single scan of its events.
+
+    Counts are first taken per batch and pumping symbol, where they combine map
+    side in plain hash aggregation; only the distinct symbols of a batch then
+    meet in its token list.
+    """
+    return summary_of_parts(events.groupBy(*keys, pumping_symbol()).agg(*part_counts()), keys)
+
+
 def score_batches(
     summary: DataFrame, alerts: DataFrame, keys: list[str], params: Params = DEFAULTS
 ) -> DataFrame:
