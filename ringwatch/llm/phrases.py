@@ -23,14 +23,16 @@ GAPS = b" \x09"
 UNKNOWN_LANG = "und"
 
 #: Bytes of text that are hashed at once.
-CHUNK = 1 << 20
+CHUNK = 512 << 10
 #: Summary entries that a task holds before it hands them on.
-HELD = 1 << 20
+HELD = 512 << 10
 #: A counted hash of a partition is known by as many of its lower bits.
 KEY_BITS = 32
 #: Bytes of text for each hash partition; at most 1.5 n-grams of up to three words start at a byte.
 PARTITION_BYTES = 8 << 20
 LEAST_PARTITIONS = 8
+#: Parts of a language that are ranked apart; the first rows of each are then ranked together.
+RANK_PARTS = 128
 #: Bits of all maps together, which are broadcast.
 MOST_BITS = 1 << 28
 
@@ -398,8 +400,8 @@ def collocations(
 
     All counts are exact: see ``frequent_phrases``. A frequent word is one counter per task and
     hash partition, so it is no hot key there; it is one in the joins that fetch the counts of
-    parts, both sides of which are plain tables that adaptive execution can split. The ranks need
-    only the first ``top`` rows of each task.
+    parts, both sides of which are plain tables that adaptive execution can split. A language is
+    ranked in parts first, of which each sends on its first ``top`` rows.
     """
     scratch = scratch_for(docs, scratch)
     found = frequent_phrases(docs, min_count, longest, text, lang, scratch)
@@ -442,8 +444,13 @@ def collocations(
     left = lowest.join(around, ["lang", "phrase"], "left").filter(
         F.col("around").isNull() | (F.col("around") * 100 < F.col("a") * covered)
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    best = [F.desc("score"), F.desc("a"), "phrase"]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    near = left.withColumn("_part", part).withColumn(
+        "_near", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*best))
+    ).filter(F.col("_near") <= top)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*best))
+    ranked = near.withColumn("rank", rank).filter(F.col("rank") <= top)
     totals = found.filter("n = 0").select("lang", F.col("a").alias("n"))
     return ranked.join(F.broadcast(totals) if _few(totals) else totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
