@@ -2,7 +2,6 @@
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 # Layouts of times besides ISO, in the order in which they are tried.
@@ -26,22 +25,3 @@ def parse_time(text: Column, layouts: list[str] = LAYOUTS) -> Column:
 def week_of(ts: Column) -> Column:
     """Monday of the week as a date; no time zone is involved."""
     return F.date_sub(F.next_day(ts.cast("date"), "MON"), 7)
-
-
-ROWS_PER_BLOCK = 10_000
-
-
-def order_block(column: str, schema: T.StructType) -> Column:
-    """A coarse bucket of an ordering column, monotone in it.
-
-    Ordered computations run inside one bucket and carry one row per bucket
-    across, so no task ever sees a whole ordered series.
-    """
-    kind = schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.col(column).cast("date")
-    if isinstance(kind, T.DateType):
-        return F.trunc(F.col(column), "year")
-    if isinstance(kind, T.IntegralType):
-        return F.floor(F.col(column) / F.lit(ROWS_PER_BLOCK))
-    raise TypeError(f"{column} must be a time, date or integer column to order by")

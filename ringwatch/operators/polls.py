@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ringwatch.functions.prices import is_spike, poll_change_pct
-from ringwatch.functions.times import order_block
+from ringwatch.operators.scan import BLOCK, blocks_before, in_blocks
 from ringwatch.params import DEFAULTS
+from ringwatch.session import Scratch, scratch_for
 
 
 def poll_changes(
@@ -15,32 +16,30 @@ def poll_changes(
     order: str = "poll_ts",
     price: str = "price_usd",
     ties: list[str] | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
     """Adds the previous price, the change in percent and the spike flag.
 
     The first poll of a token is compared with itself; a price of 0 is
-    remembered. A token's polls are cut into blocks of time; each block takes the
-    last price of the block before it, so a busy token spreads over many tasks.
+    remembered. Polls are cut into equally large ranges of token and time, of any type; each takes
+    the last price of the range before it, so a busy token, or a busy day, spreads over many tasks.
     Polls without a token are one token of their own, those without a time come
     first. ``ties`` orders polls of the same time, by price if not given.
     """
-    ties = ties or [price]
-    # Structs compare null fields as equal, so null tokens and times join as well.
+    scratch = scratch_for(polls, scratch)
+    place = [order, *(ties or [price])]
+    # Structs compare null fields as equal, so null tokens join as well.
     known = polls.withColumn(price, F.coalesce(F.col(price), F.lit(0.0))).select(
-        "*",
-        F.struct(F.col(token).alias("token")).alias("_token"),
-        F.struct(order_block(order, polls.schema).alias("block")).alias("_block"),
+        "*", F.struct(F.col(token).alias("token")).alias("_token")
     )
-    last = known.groupBy("_token", "_block").agg(
-        F.max_by(price, F.struct(order, *ties)).alias("_last")
-    )
-    blocks = Window.partitionBy("_token").orderBy("_block")
-    carried = last.select("_token", "_block", F.lag("_last").over(blocks).alias("_carried"))
-    inside = Window.partitionBy("_token", "_block").orderBy(order, *ties)
+    known = in_blocks(known, ["_token"], place, scratch)
+    last = known.groupBy("_token", BLOCK).agg(F.max_by(price, F.struct(*place)).alias("_last"))
+    carried = last.select("_token", BLOCK, F.last("_last").over(blocks_before(["_token"])).alias("_carried"))
+    inside = Window.partitionBy("_token", BLOCK).orderBy(*place)
     previous = F.coalesce(F.lag(price).over(inside), F.col("_carried"), F.col(price))
     change = poll_change_pct(F.col(price), F.col("previous_price"))
     return (
-        known.join(carried, ["_token", "_block"])
+        known.join(carried, ["_token", BLOCK])
         .withColumn("previous_price", previous)
         .select(
             *polls.columns,

@@ -1,9 +1,10 @@
 """Detection quality over the sequence of batches."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringwatch.functions.times import order_block
+from ringwatch.operators.scan import as_of, running_sums
+from ringwatch.session import Scratch, scratch_for
 
 _COUNTS = {
     "true_positives": "TP",
@@ -31,46 +32,44 @@ def with_scores(counts: DataFrame) -> DataFrame:
     )
 
 
-def _flags() -> list[Column]:
-    ones = [
-        F.when(F.col("outcome") == code, 1).otherwise(0).cast("bigint").alias(name)
-        for name, code in _COUNTS.items()
-    ]
-    return [*ones, F.lit(1).cast("bigint").alias("total_batches")]
+def _flags() -> dict[str, Column]:
+    ones = {
+        name: F.when(F.col("outcome") == code, 1).otherwise(0).cast("bigint") for name, code in _COUNTS.items()
+    }
+    return {**ones, "total_batches": F.lit(1).cast("bigint")}
 
 
-def running_quality(outcomes: DataFrame, order: str, epoch: str | None = None) -> DataFrame:
+def count_outcomes(outcomes: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The four counters over all rows, or over those of each group ``by``."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in _flags().items()]
+    return outcomes.groupBy(*(by or [])).agg(*sums)
+
+
+def running_quality(
+    outcomes: DataFrame, order: str, epoch: str | None = None, scratch: Scratch | None = None
+) -> DataFrame:
     """Counters and scores after each batch, in batch order.
 
-    A new ``epoch`` value starts the counters again. The running sum is taken in
-    blocks of the order column plus the total of the blocks before, so only one
-    row per block meets in a single window. Batches without an order value come first.
+    A new ``epoch`` value starts the counters again. The running sums are taken in ranges of
+    the order column, of any type, plus the totals of the ranges before. Batches
+    without an order value come first.
     """
-    group = [epoch] if epoch else []
-    names = [*_COUNTS, "total_batches"]
-    block = F.struct(order_block(order, outcomes.schema).alias("at"), *group).alias("_block")
-    flagged = outcomes.select("*", block, *_flags())
-    totals = flagged.groupBy(*group, "_block").agg(*[F.sum(n).alias(n) for n in names])
-    before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(
-        "_block", *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_{n}") for n in names]
-    )
-    inside = (
-        Window.partitionBy(*group, "_block")
-        .orderBy(order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    running = flagged.join(carried, "_block").select(
-        *outcomes.columns, *[(F.sum(n).over(inside) + F.col(f"_{n}")).alias(n) for n in names]
-    )
-    return with_scores(running)
+    scratch = scratch_for(outcomes, scratch)
+    return with_scores(running_sums(outcomes, [epoch] if epoch else [], [order], _flags(), scratch))
+
+
+def batch_epochs(outcomes: DataFrame, markers: DataFrame, order: str, out: str = "epoch", scratch: Scratch | None = None) -> DataFrame:
+    """Outcomes with the reset they come after: the last marker ``order`` at or before the batch; null before the first.
+
+    A marker says that the counters start again with the first batch at or after it.
+    """
+    marks = markers.select(order, F.col(order).alias("_reset"))
+    return as_of(outcomes, marks, order, "_reset", out, scratch=scratch)
 
 
 def quality_snapshot(outcomes: DataFrame) -> DataFrame:
     """Counters and scores after the last batch: seven fields, one row."""
-    flags = outcomes.select(*_flags())
-    names = [*_COUNTS, "total_batches"]
-    return with_scores(flags.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]))
+    return with_scores(count_outcomes(outcomes))
 
 
 def stored_snapshot(quality: DataFrame, order: str, updated_at: Column | None = None) -> DataFrame:

@@ -154,7 +154,13 @@ _ALERT_COLUMNS = """
 _NEWEST = "b DESC, alert_type, hub_node NULLS FIRST, seed_node NULLS FIRST"
 
 
-def _quality(epoch: str = "") -> str:
+_RESETS = """
+reset_days AS (
+    SELECT s.*, (SELECT max(e.day) FROM ev e WHERE e.kind = 'error' AND e.pump AND e.day <= s.b) AS epoch FROM scored s
+)"""
+
+
+def _quality(epoch: str = "", of: str = "scored") -> str:
     """Running counts over the days, from the start or from the start of each epoch."""
     group = f"PARTITION BY {epoch} " if epoch else ""
     return f"""
@@ -162,7 +168,7 @@ rq AS (
     SELECT *, CAST(count(*) FILTER (outcome = 'TP') OVER w AS BIGINT) AS tp,
            CAST(count(*) FILTER (outcome = 'FP') OVER w AS BIGINT) AS fp,
            CAST(count(*) FILTER (outcome = 'FN') OVER w AS BIGINT) AS fn, count(*) OVER w AS total
-    FROM scored WINDOW w AS ({group}ORDER BY b ROWS UNBOUNDED PRECEDING)
+    FROM {of} WINDOW w AS ({group}ORDER BY b ROWS UNBOUNDED PRECEDING)
 ), rp AS (
     SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
            CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r
@@ -280,6 +286,8 @@ SQL: dict[str, str] = {
         FROM quality WHERE persisted ORDER BY b DESC LIMIT 1""",
     "quality_epochs": f"""{_with(*_DAY, _quality("(b - DATE '2024-01-01') // 10"))}
         SELECT CAST((b - DATE '2024-01-01') // 10 AS BIGINT) AS epoch, {_BATCH}, {_QUALITY_COLUMNS} FROM quality""",
+    "quality_resets": f"""{_with(*_DAY, _RESETS, _quality("epoch", "reset_days"))}
+        SELECT coalesce(CAST(epoch AS VARCHAR), '') AS epoch, {_BATCH}, {_QUALITY_COLUMNS} FROM quality""",
     "candles_body_pump": f"""{_with(_CANDLES)}
         SELECT 'price_candle' AS event_type, symbol, CAST(month AS VARCHAR) AS timestamp, open, high, low, close, volume,
                abs(close - open) / open * 100 AS body_pct,

@@ -208,6 +208,15 @@ def quality_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running.select("epoch", _text("day"), *_QUALITY)
 
 
+def quality_resets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that start again on every day with an error of a value above 250."""
+    _, found, _ = _quality(spark, sf_dir)
+    events = adapters.table(spark, sf_dir, "events").filter((F.col("event_type") == "error") & (F.col("value") > 250))
+    markers = events.select(F.col("ts").cast("date").alias("day")).distinct()
+    running = quality.running_quality(quality.batch_epochs(found, markers, "day"), "day", "epoch")
+    return running.select(F.coalesce(F.col("epoch").cast("string"), F.lit("")).alias("epoch"), _text("day"), *_QUALITY)
+
+
 def candles_body_pump(spark: SparkSession, sf_dir: str) -> DataFrame:
     candles = ohlcv.to_candles(adapters.monthly_candles(spark, sf_dir))
     return candles.select(
@@ -345,7 +354,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         decode_route_events, interaction_edges, degrees, undirected_edges, star_hubs, ego_density,
         ring_alerts, ring_members, batch_summary, tumbling_summary, batch_confidence, alerts_enriched, batch_status,
-        outcomes, running_quality, quality_snapshot, stored_snapshot, quality_epochs,
+        outcomes, running_quality, quality_snapshot, stored_snapshot, quality_epochs, quality_resets,
         candles_body_pump, ohlcv_headers_symbols, poll_spikes, snapshot_flatten, topic_records,
         tweet_mentions, tweet_tokens, tweet_edges, tweet_csv_edges, ohlcv_csv_candles, latest_alerts, alert_kpis,
         alerts_by_type, alerts_timeline, top_tokens, alert_table, alert_table_first, dataset_stats,
