@@ -32,6 +32,17 @@ def utf8_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
 
 
+def dealt(rows: DataFrame, *key: str) -> DataFrame:
+    """Few small rows that stand for much work, each a task of its own up to the tasks of a shuffle.
+
+    Adaptive execution would put small rows together, but leaves a given number of tasks alone. The
+    rows are counted, so they must be cheap to compute.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    most = max(4 * cores, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(max(1, min(rows.count(), most)), *key)
+
+
 def row_keys(docs: DataFrame) -> list[Column]:
     """96 bits of hash over all columns: equal for rows that are equal throughout."""
     values = [

@@ -9,8 +9,9 @@ from ringwatch.llm.common import kept_rows, row_keys, single_spaced
 from ringwatch.session import Scratch, scratch_for
 
 PREFIX_CHARS = 128
-#: Surviving prefix groups are sent to every task only up to this many (24 bytes each).
-BROADCAST_GROUPS = 200_000
+#: The bit map of surviving prefix groups: at most so many rows of 4 KB, which every task gets.
+MAP_ROWS = 2048
+ROW_BITS = 32768
 
 
 def exact_duplicates(
@@ -33,10 +34,10 @@ def exact_duplicates(
 
     The first scan takes only the length and a hash of the first characters. Rows
     whose length, or prefix among equal lengths, is unique are settled by it. The
-    second scan hashes the whole text of the others; the test for "others" is a
-    broadcast while their groups are few, and beyond that every text is hashed
-    rather than moved. A class that holds much of the table is one hot key of the
-    last join, both sides of which are plain tables, so adaptive execution splits it.
+    second scan hashes the whole text of the others, at any size: a row knows itself as one
+    by a bit map of the surviving groups, 67 million bits and 8 MB at most, so no text moves. Of rows
+    that a shared bit lets through, the hash is one that no other row has. A class that holds much of the
+    table is one hot key of the last join, both sides of which are plain tables, so adaptive execution splits it.
     """
     scratch = scratch_for(docs, scratch)
     plain = docs.select(
@@ -55,11 +56,7 @@ def exact_duplicates(
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("_id"), single_spaced(F.col(text)).alias("_text"), *carried
     ).select("*", length, head)
-    if open_heads.count() <= BROADCAST_GROUPS:
-        marked = F.broadcast(open_heads.withColumn("_open", F.lit(True)))
-        rows = rows.join(marked, ["_length", "_head"], "left")
-    else:
-        rows = rows.withColumn("_open", F.lit(True))
+    rows = _marked(rows, open_heads)
     full = F.when(F.col("_open"), F.unhex(F.sha2("_text", 256)))
     names = list(carry or {})
     hashed = rows.select(
@@ -91,6 +88,22 @@ def exact_duplicates(
     )
 
 
+def _bit() -> Column:
+    """The bit of a prefix group."""
+    return F.pmod(F.xxhash64("_length", "_head"), F.lit(MAP_ROWS * ROW_BITS))
+
+
+def _marked(rows: DataFrame, open_heads: DataFrame) -> DataFrame:
+    """``rows`` with ``_open``: whether the bit of their prefix group is set by any of ``open_heads``."""
+    at = open_heads.select(F.shiftright(_bit(), 15).alias("_map_row"), (_bit() % ROW_BITS).alias("_at"))
+    bits = at.groupBy("_map_row").agg(F.bitmap_construct_agg("_at").alias("_bits"))
+    met = rows.join(F.broadcast(bits), F.shiftright(_bit(), 15) == F.col("_map_row"), "left")
+    place = F.shiftright((_bit() % ROW_BITS).cast("int"), 3) + 1
+    byte = F.conv(F.hex(F.substring("_bits", place, F.lit(1))), 16, 10).cast("int")
+    is_open = F.coalesce(F.getbit(byte, (_bit() % 8).cast("int")) == 1, F.lit(False))
+    return met.withColumn("_open", is_open).drop("_map_row", "_bits")
+
+
 def drop_exact_duplicates(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", scratch: Scratch | None = None
 ) -> DataFrame:

@@ -26,6 +26,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ringwatch.llm.common import dealt
 from ringwatch.session import Scratch, scratch_for
 
 #: Longer texts (in characters) are encoded by chunks.
@@ -351,7 +352,8 @@ def _giant_ids(docs: DataFrame, text: str, id_col: str, model_file: str, kind: s
                     })
 
     schema = "_row long, _chunk long, part string, start int, end int"
-    chunks = scratch.cut(source.mapInPandas(cut, schema), "chunks").repartition("_row", "_chunk")
+    source = scratch.cut(dealt(source, "_row"), "dealt")
+    chunks = dealt(scratch.cut(source.mapInPandas(cut, schema), "chunks"), "_row", "_chunk")
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = load(model_file, kind)
@@ -379,6 +381,7 @@ def _giant_ids(docs: DataFrame, text: str, id_col: str, model_file: str, kind: s
             "_row": rows["_row"].iloc[:1], "_group": rows["_group"].iloc[:1], "states": [states], "scores": [scores],
         })
 
+    matrices = dealt(matrices, "_row", "_group")
     groups = matrices.groupBy("_row", "_group").applyInPandas(
         multiply, "_row long, _group long, states array<int>, scores array<double>"
     )
@@ -420,7 +423,9 @@ def _giant_ids(docs: DataFrame, text: str, id_col: str, model_file: str, kind: s
                 found.append([i for token in tokens for i in pieces.ids(token)])
             yield batch[["_row", "_chunk"]].assign(ids=found)
 
-    traced = chunks.join(placed, ["_row", "_chunk"]).mapInPandas(trace, "_row long, _chunk long, ids array<int>")
+    placed = scratch.cut(placed, "placed")
+    entered = dealt(chunks.join(placed, ["_row", "_chunk"]), "_row", "_chunk")
+    traced = entered.mapInPandas(trace, "_row long, _chunk long, ids array<int>")
     in_order = F.array_sort(F.collect_list(F.struct("_chunk", "ids")))
     joined = traced.groupBy("_row").agg(F.flatten(F.transform(in_order, lambda c: c["ids"])).alias("token_ids"))
     return source.join(joined, "_row").select("_id", "_text", "token_ids")

@@ -134,7 +134,7 @@ SQL = {
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id,
                    CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+            FROM (SELECT vec_id, min(v) AS v FROM v WHERE vec_id % 50 = 0 GROUP BY vec_id) q JOIN v c ON c.vec_id <> q.vec_id
         ), r AS (
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
         )

@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ringwatch.llm.common import dealt
 from ringwatch.session import Scratch, scratch_for
 
 # Fixed values of the format.
@@ -260,7 +261,8 @@ BATCH_BYTES = 4 << 20
 def read_archives(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Every record of the ``*.warc.gz`` files under ``folder``, one row each.
 
-    Spark lists the files; a file gives a task per ``split_bytes``. Length and digest
+    Spark lists the files; every ``split_bytes`` of one are a range, and the ranges are dealt out by
+    number, which adaptive execution does not undo. Length and digest
     of a response are taken of the payload read; a revisit has no payload and repeats
     what its header says of it. Empty files and folders give no rows; a file that
     ends inside a record is an error. Missing numbers are null.
@@ -308,8 +310,7 @@ def read_archives(spark: SparkSession, folder: str, split_bytes: int = SPLIT_BYT
         ("page_id", pa.int64()), ("payload", pa.binary()), ("payload_bytes", pa.int64()),
         ("payload_digest", pa.string()), ("refers_to", pa.int64()),
     ])
-    spread = ranges.repartition(F.col("path"), F.col("start"))
-    return spread.mapInArrow(read, RECORD)
+    return dealt(ranges, "path", "start").mapInArrow(read, RECORD)
 
 
 def round_trip(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES, scratch: Scratch | None = None) -> DataFrame:

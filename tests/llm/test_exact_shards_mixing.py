@@ -30,10 +30,18 @@ def test_single_spaced_and_words(spark):
     assert [r[1] for r in found] == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_exact_groups(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr(exact, "BROADCAST_GROUPS", -1)
+def test_only_survivors_are_hashed(spark):
+    """The bit map marks the groups it was made of, and hardly any other."""
+    groups = spark.createDataFrame([(n, n * n - 7) for n in range(0, 3000, 3)], "_length int, _head long")
+    rows = spark.createDataFrame([(n, n * n - 7) for n in range(3000)], "_length int, _head long")
+    marked = exact._marked(rows, groups).filter("_open").select("_length").collect()
+    assert {r[0] for r in marked} >= set(range(0, 3000, 3)) and len(marked) < 1010
+
+
+@pytest.mark.parametrize("map_rows", [None, 1])
+def test_exact_groups(spark, monkeypatch, map_rows):
+    if map_rows:
+        monkeypatch.setattr(exact, "MAP_ROWS", map_rows)
     df = spark.createDataFrame(ROWS, SCHEMA)
     digest = F.sha2(single_spaced(F.col("text")), 256)
     found = exact.exact_duplicates(df, carry={"h": digest}).collect()

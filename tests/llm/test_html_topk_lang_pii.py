@@ -104,6 +104,21 @@ def test_topk_brute(spark, monkeypatch, seed, n):
     assert sorted(map(tuple, found.collect())) == brute(rows)
 
 
+def test_topk_repeated_ids_in_any_order(spark):
+    r = np.random.default_rng(9)
+    rows = [(int(i) // 3, [float(x) for x in r.normal(size=4)]) for i in range(900)]
+    wanted = None
+    for order in (rows, rows[::-1], rows[450:] + rows[:450]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(4)
+        found = sorted(map(tuple, topk.top_k(df).collect()))
+        wanted = wanted or found
+        assert found == wanted
+    grid = {i: min(tuple(int(np.floor(256 * x)) for x in v) for j, v in rows if j == i) for i in range(0, 300, 50)}
+    for i, q in grid.items():
+        scored = sorted((-sum(int(np.floor(256 * x)) * c for x, c in zip(v, q)), j) for j, v in rows if j != i)[:5]
+        assert [(x[2], x[3]) for x in wanted if x[0] == i] == [(j, -s) for s, j in scored]
+
+
 def test_topk_odd_shapes(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, []), (50, [1.0, 1.0, 1.0]), (50, [2.0, 0.0, 0.0]), (3, [0.5, -0.25])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")

@@ -1,3 +1,4 @@
+import os
 import gzip
 import hashlib
 import io
@@ -109,3 +110,13 @@ def test_a_header_of_any_length(level):
 def test_a_very_long_url_comes_back(spark):
     df = spark.createDataFrame([(1, "http://h/" + "x%7" * 200_000, "p" * 200), (2, "u", "q")], "page_id long, url string, html string")
     assert sorted(r.page_id for r in warc.round_trip(df).collect()) == [1, 2]
+
+
+def test_ranges_are_read_by_many_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    rows = [(i, f"http://x/{i}", os.urandom(2000).hex()) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(warc.plan_records(pages), str(tmp_path))
+    records = warc.read_archives(spark, str(tmp_path), split_bytes=8 << 10)
+    tasks = records.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(t["count"] for t in tasks) == 300 and len(tasks) >= 16
