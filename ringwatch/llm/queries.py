@@ -67,7 +67,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.in_training_order(mixing.mix(table(spark, sf_dir, "documents")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,11 +171,11 @@ SQL = {
         ), v AS (
             SELECT min_by(left_over / open, most / share) AS level FROM l WHERE most / share > left_over / open
         ), t AS (
-            SELECT l.source, source_size,
+            SELECT l.source, turn, source_size,
                    CASE WHEN level IS NULL OR most <= level * share THEN most ELSE level * share END AS target
             FROM l, v
         ), b AS (
-            SELECT d.doc_id, d.size, t.source_size, t.target,
+            SELECT d.doc_id, d.size, t.source_size, t.target, t.turn,
                    CAST(floor(t.target + 0.5) AS BIGINT) AS wanted,
                    CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.o, d.doc_id, d.size
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS prior
@@ -183,9 +183,20 @@ SQL = {
         ), p AS (
             SELECT *, CASE WHEN source_size > 0 THEN wanted // source_size ELSE 0 END AS passes FROM b
         )
-        SELECT doc_id, size, source_size, target,
-               CAST(passes * size + greatest(least(wanted - passes * source_size - prior, size), 0) AS BIGINT) AS taken
-        FROM p
+        , k AS (
+            SELECT doc_id, size, source_size, target, turn,
+                   CAST(passes * size + greatest(least(wanted - passes * source_size - prior, size), 0) AS BIGINT) AS taken,
+                   prior / nullif(wanted, 0) AS used
+            FROM p
+        )
+        -- The time by which a source's falling, level or rising weight has spent the words before.
+        SELECT doc_id, size, source_size, target, taken,
+               CASE WHEN taken > 0 THEN least(CASE
+                   WHEN turn = 0 THEN 2 * used / (1.5::DOUBLE + sqrt(greatest(2.25::DOUBLE - 2 * used, 0)))
+                   WHEN turn = 1 THEN used
+                   WHEN used < 0.375::DOUBLE THEN 2 * used / (0.5::DOUBLE + sqrt(0.25::DOUBLE + 2 * used))
+                   ELSE 0.5::DOUBLE + 2 * (used - 0.375::DOUBLE) / (1 + sqrt(1 + 2 * (used - 0.375::DOUBLE))) END, 1.0::DOUBLE) END AS position
+        FROM k
     """,
     # Segments . and .. in the path of a relative link are left to the tests.
     "op11_url_filter": r"""
