@@ -9,10 +9,14 @@ import numpy as np
 # whose content is no text, and the open elements that a start tag closes.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter "
-    "output picture progress q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr".split()
+    "output picture progress q rp rt ruby s samp small source span strike strong sub sup time tt u var wbr "
+    "math mi mo mn mrow msup msub msubsup mfrac msqrt mroot mtext ms mspace mstyle munder mover munderover mpadded "
+    "mphantom menclose mtable mtr mtd semantics merror".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas".split())
+SILENT = frozenset("template head title iframe".split())
+# Elements inside a line whose content is no text of the page.
+HUSHED = frozenset("script style svg annotation annotation-xml".split())
 CLOSED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "body": {"head"},
@@ -43,23 +47,38 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", (), None, 0)
-        self.nodes, self.here, self.links, self.block = [self.root], self.root, 0, 0
+        self.nodes, self.open, self.links, self.block = [self.root], [self.root], 0, 0
+        # Per tag the places in ``open`` of its elements, so that a look for one takes no walk.
+        self.places: dict[str, list[int]] = {}
+        self.hush: list[str] = []
+
+    def _innermost(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def _close(self, tags, stop=()):
         """Leave the innermost open element among ``tags``, unless one of ``stop`` lies inside it."""
-        node = self.here
-        while node.parent and node.tag not in stop:
-            if node.tag in tags:
-                self.here = node.parent
-                return
-            node = node.parent
+        place = self._innermost(tags)
+        if place and (not stop or place > self._innermost(stop)):
+            for node in self.open[place:]:
+                self.places[node.tag].pop()
+            del self.open[place:]
 
     def handle_starttag(self, tag, attrs):
+        if self.hush:
+            # A block element inside a drawing ends it, as in browsers.
+            if self.hush[-1] != "svg" or tag not in ENDS_PARAGRAPH:
+                if tag in self.hush:
+                    self.hush.append(tag)
+                return
+            self.hush.clear()
+        if tag in HUSHED:
+            self.hush.append(tag)
+            return
         if tag == "a":
             self.links += 1
         if tag in INLINE:
             if tag == "br":
-                self.here.runs.append((" ", False, self.block))
+                self.open[-1].runs.append((" ", False, self.block))
             return
         self.block += 1
         if tag in ENDS_PARAGRAPH:
@@ -67,14 +86,18 @@ class _Builder(HTMLParser):
             self._close({"p"}, {"table", "td", "th", "button"})
         if tag in CLOSED_BY:
             self._close(CLOSED_BY[tag], {"ul", "ol", "dl", "table"} - CLOSED_BY[tag])
-        known = {k: v or "" for k, v in attrs}
-        words = " ".join(known.get(k, "") for k in ("class", "id", "role", "itemprop", "aria-label"))
-        label = known.get(LABEL)
-        node = Node(tag, tuple(_TOKEN.findall(words.lower())), self.here, len(self.nodes), label)
-        self.here.children.append(node)
+        tokens, label, parent = (), None, self.open[-1]
+        if attrs:
+            known = {k: v or "" for k, v in attrs}
+            words = " ".join(known.get(k, "") for k in ("class", "id", "role", "itemprop", "aria-label"))
+            tokens, label = tuple(_TOKEN.findall(words.lower())), known.get(LABEL)
+        node = Node(tag, tokens, parent, len(self.nodes), label)
+        parent.children.append(node)
         self.nodes.append(node)
         if tag not in VOID:
-            self.here, self.links = node, 0
+            self.places.setdefault(tag, []).append(len(self.open))
+            self.open.append(node)
+            self.links = 0
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -82,15 +105,21 @@ class _Builder(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        if self.hush:
+            if tag in self.hush:
+                while self.hush.pop() != tag:
+                    pass
+            return
         if tag == "a":
             self.links = max(0, self.links - 1)
-        elif tag not in INLINE:
+        elif tag not in INLINE and tag not in HUSHED:
             self.block += 1
             self._close({tag})
             self.links = 0
 
     def handle_data(self, data):
-        self.here.runs.append((data, self.links > 0, self.block))
+        if not self.hush:
+            self.open[-1].runs.append((data, self.links > 0, self.block))
 
 
 def parse(html: str | None) -> list[Node]:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ringwatch.llm import dom, trees
 
 #: Labelled pages that the model is fitted on. They are made by ``training_page``.
-TRAIN_PAGES = 500
+TRAIN_PAGES = 1200
 SEED = 7
 #: Characters of the pages that are scored together.
 GROUP_CHARS = 1 << 20
@@ -127,25 +127,58 @@ class _Writer:
             return f'<p {dom.LABEL}="1"><b>{text}<br>'
         return self.element("p", text, 1)
 
-    def article(self) -> str:
-        parts = [self.element("h1", self.words(1, 12), 1)] if self.random.random() < 0.8 else []
-        for _ in range(self.random.choice([1, 1, 2, 3, 5, 8, 12])):
+    def list_(self) -> str:
+        rows = [self.element("li", self.words(2, 15), 1) for _ in range(self.random.randint(1, 5))]
+        return self.element(self.random.choice(["ul", "ol"]), "".join(rows), 1)
+
+    def references(self) -> str:
+        """A heading and a list of which most words are links: content all the same."""
+        def row():
+            link = f'<a href="/{self.random.choice(self.vocabulary)}">{self.words(2, 9, False)}</a>'
+            return self.element("li", f"{link} {self.words(1, 5)}" if self.random.random() < 0.5 else link, 1)
+
+        rows = "".join(row() for _ in range(self.random.randint(2, 8)))
+        head = self.element(self.random.choice(["h2", "h3"]), self.words(1, 3, False), 1)
+        return head + self.element(self.random.choice(["ol", "ul"]), rows, 1, ["references", "sources", "notes", "links", "list"])
+
+    def figure(self) -> str:
+        return self.element("figure", f'<img src="/i.png">{self.element("figcaption", self.words(2, 15), 1)}', 1)
+
+    def wrapped(self, inner: str) -> str:
+        """Inside up to three elements without a name."""
+        for _ in range(self.random.choice([0, 0, 1, 1, 2, 3])):
+            inner = self.element(self.random.choice(["div", "div", "section"]), inner, 1)
+        return inner
+
+    def parts(self, most: int = 12) -> list[str]:
+        parts = []
+        for _ in range(self.random.choice([n for n in (1, 1, 2, 3, 5, 8, 12) if n <= most])):
             kind = self.random.random()
-            if kind < 0.8:
+            if kind < 0.78:
                 parts.append(self.paragraph())
-            elif kind < 0.86:
+            elif kind < 0.84:
                 parts.append(self.element("h2", self.words(1, 8, False), 1))
-            elif kind < 0.9:
-                rows = [self.element("li", self.words(2, 15), 1) for _ in range(self.random.randint(1, 5))]
-                parts.append(self.element("ul", "".join(rows), 1))
-            elif kind < 0.93:
+            elif kind < 0.88:
+                parts.append(self.list_())
+            elif kind < 0.91:
                 parts.append(self.element("blockquote", self.element("p", self.words(4, 30), 1), 1))
-            elif kind < 0.95:
+            elif kind < 0.93:
                 cells = "".join(self.element("td", self.words(1, 5), 1) for _ in range(3))
                 parts.append(self.element("table", self.element("tr", cells, 1), 1))
+            elif kind < 0.94:
+                parts.append(self.figure())
+            elif kind < 0.96:
+                parts.append(self.references())
             else:
                 parts.append(self.random.choice([self.advert, self.side, self.notice])())
-        inner = "".join(parts)
+        return parts
+
+    # Layouts of the article
+
+    def named(self) -> str:
+        """One element that often says what it is."""
+        parts = [self.element("h1", self.words(1, 12), 1)] if self.random.random() < 0.8 else []
+        inner = "".join(parts + self.parts())
         kind = self.random.random()
         if kind < 0.45:
             return self.element("article", inner, 1, ["post", "article", "entry"])
@@ -155,11 +188,60 @@ class _Writer:
             return self.element("div", inner, 1, ["content", "post-body", "entry-content", "article", "story", "text"])
         return inner
 
-    def page(self) -> str:
+    def bare(self) -> str:
+        """Paragraphs in nested elements without any name."""
+        head = self.element("h1", self.words(1, 12), 1) if self.random.random() < 0.4 else ""
+        return self.wrapped(head + self.wrapped("".join(self.parts())))
+
+    def headed(self) -> str:
+        """A header of the article itself, with its title and often a line on who wrote it."""
+        head = self.element("h1", self.words(1, 12), 1)
+        if self.random.random() < 0.6:
+            head += self.element("p", self.words(2, 12), 1, ["byline", "meta", "lead", "subtitle"])
+        inner = self.element("header", head, 1, ["entry-header", "article-header"]) + "".join(self.parts())
+        return self.element(self.random.choice(["article", "article", "main"]), inner, 1, ["post", "article", "entry"])
+
+    def sections(self) -> str:
+        """Sections of headings and paragraphs, with a list of links at the end."""
+        rows = [
+            self.element("section", self.element("h2", self.words(1, 6, False), 1) + self.wrapped("".join(self.parts(3))), 1, ["section", "chapter"])
+            for _ in range(self.random.randint(1, 5))
+        ]
+        inner = self.element("h1", self.words(1, 9), 1) + "".join(rows) + (self.references() if self.random.random() < 0.7 else "")
+        return self.element(self.random.choice(["article", "main", "div"]), inner, 1, ["content", "article", "document"])
+
+    def lines(self) -> str:
+        """Text straight in one element, its paragraphs parted by line breaks."""
+        texts = [self.words(3, self.random.choice([10, 40, 90])) for _ in range(self.random.randint(1, 6))]
+        return self.wrapped(self.element("div", "<br><br>".join(texts), 1, ["content", "text", "post", "message"]))
+
+    def columns(self) -> str:
+        """A table that lays out the page: a menu in one cell, the article in another, perhaps a side column."""
+        links = " ".join(self.link() for _ in range(self.random.randint(2, 8)))
+        cells = [self.element("td", links if self.random.random() < 0.5 else self.items(2, 8, 0), 0)]
+        cells.append(self.element("td", self.element("h1", self.words(1, 9), 1) + "".join(self.parts()), 1))
+        if self.random.random() < 0.4:
+            cells.append(self.element("td", self.side() + self.advert(), 0))
+        return self.element("table", self.element("tr", "".join(cells), 1), 1)
+
+    LAYOUTS = ("named", "bare", "headed", "sections", "lines", "columns")
+
+    def long_chrome(self) -> str:
+        """Parts that are not content but as long as an article."""
+        texts = "".join(self.element("p", self.words(20, 90), 0) for _ in range(self.random.randint(1, 4)))
+        return self.random.choice([
+            lambda: self.element("footer", texts, 0, ["footer", "legal", "site-footer"]),
+            lambda: self.element("div", texts, 0, ["cookie-banner", "consent", "disclaimer notice"]),
+            lambda: self.element("aside", texts, 0, ["sidebar", "related"]),
+            lambda: self.element("div", texts, 0, ["sponsored", "advert", "promo"]),
+        ])()
+
+    def page(self, layout: str | None = None) -> str:
         before = [self.menu, self.header, self.advert, self.notice, self.form, self.side]
-        after = [self.footer, self.comments, self.side, self.advert, self.form, self.notice, self.menu]
+        after = [self.footer, self.comments, self.side, self.advert, self.form, self.notice, self.menu, self.long_chrome]
+        layout = layout or self.random.choice(self.LAYOUTS)
         parts = [f() for f in self.random.sample(before, self.random.randint(0, 4))]
-        parts.append(self.article())
+        parts.append(getattr(self, layout)())
         parts += [f() for f in self.random.sample(after, self.random.randint(0, 4))]
         body = "".join(parts)
         if self.random.random() < 0.4:
@@ -169,22 +251,24 @@ class _Writer:
         return f'<!DOCTYPE html><html {dom.LABEL}="1">{head}<body {dom.LABEL}="1">{body}{end}'
 
 
-def training_page(seed: int) -> str:
-    return _Writer(seed).page()
+def training_page(seed: int, layouts: tuple[str, ...] = _Writer.LAYOUTS) -> str:
+    """A labelled page; ``layouts`` leaves out what is held out. Half of them are the plainest, the rest shared."""
+    writer = _Writer(seed)
+    return writer.page(layouts[0] if writer.random.random() < 0.4 else writer.random.choice(layouts))
 
 
-@lru_cache(maxsize=2)
-def train(pages: int = TRAIN_PAGES, seed: int = SEED) -> trees.Boosted:
+@lru_cache(maxsize=8)
+def train(pages: int = TRAIN_PAGES, seed: int = SEED, layouts: tuple[str, ...] = _Writer.LAYOUTS) -> trees.Boosted:
     """Boosted trees over the nodes of ``pages`` labelled pages; a node weighs more with its text."""
     rows, labels = [], []
     for i in range(pages):
-        nodes = dom.parse(training_page(seed * 1_000_003 + i))
+        nodes = dom.parse(training_page(seed * 1_000_003 + i, layouts))
         table = dom.features([nodes])
         known = [j for j, node in enumerate(nodes) if node.label is not None]
         rows.append(table[known])
         labels += [int(nodes[j].label) for j in known]
     x = np.concatenate(rows)
-    return trees.fit(x, np.array(labels, dtype=float), _weights(x), trees=30, depth=4)
+    return trees.fit(x, np.array(labels, dtype=float), _weights(x), trees=40, depth=5)
 
 
 def _weights(x: np.ndarray) -> np.ndarray:

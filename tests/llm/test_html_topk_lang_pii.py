@@ -1,6 +1,7 @@
 import html as entities
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -60,6 +61,52 @@ def test_broken_pages(page):
     assert isinstance(htmltext.extract([page], htmltext.train())[0], str)
 
 
+@pytest.mark.parametrize("layout", htmltext._Writer.LAYOUTS)
+def test_whole_layouts_held_out(layout):
+    """A model that has seen no page of a layout, on pages of that layout, by characters."""
+    model = htmltext.train(layouts=tuple(x for x in htmltext._Writer.LAYOUTS if x != layout))
+    right = total = 0
+    for seed in range(900_000, 900_060):
+        nodes = dom.parse(htmltext._Writer(seed).page(layout))
+        table = dom.features([nodes])
+        for node, keep in zip(nodes, htmltext.decode(nodes, model.log_odds(table), htmltext._weights(table))):
+            if node.label is not None:
+                size = sum(len(run[0]) for run in node.runs)
+                total += size
+                right += size * (keep == bool(int(node.label)))
+    assert right / total > 0.9
+
+
+TWO = "<p>First paragraph of the text, with several words in it.</p><p>Second paragraph of it, also with several words.</p>"
+
+
+@pytest.mark.parametrize("page,wanted", [
+    (f"<html><body><div><div>{TWO}</div></div></body></html>", re.sub("</?p>", " ", TWO)),
+    ("<body><article><header><h1>A title of the piece</h1></header><p>First paragraph, with several words.</p></article>", "A title of the piece First paragraph, with several words."),
+    ("<body><article><p>Let <math><mi>x</mi> = 3</math> hold</p></article>", "Let x = 3 hold"),
+    ("<body><article><p>Some words here, and more.</p><object><p>A paragraph of the article in an object.</p></object></article>",
+     "Some words here, and more. A paragraph of the article in an object."),
+    ("<body><article><p>foo<script>x</script>bar<svg><text>t</text></svg> baz</p><p>a<style>b</style>c</article>", "foobar baz ac"),
+    ("<body><article><p>a b<svg><path d=1><p>after an open drawing</p></article>", "a b after an open drawing"),
+    ('<body><article><h1>T one</h1><p>First paragraph of the text, with several words in it.</p><h2>References</h2><ol><li><a href="/a">Some paper title</a>'
+     '</li><li><a href="/b">Other paper title here</a></li></ol></article><footer>f g</footer></body>',
+     "T one First paragraph of the text, with several words in it. References Some paper title Other paper title here"),
+])
+def test_nothing_goes_by_rule(page, wanted):
+    assert htmltext.extract([page], htmltext.train()) == [" ".join(wanted.split())]
+
+
+@pytest.mark.parametrize("part", ["<div>", "<p><table><td><div>", "<li><ul>", "</section></div><div>", "<td><tr>", "<b><p>"])
+def test_depth_costs_no_more_than_length(part):
+    model = htmltext.train()
+    seconds = []
+    for n in (20_000, 80_000):
+        began = time.process_time()
+        htmltext.extract([part * n + "x"], model)
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 8 * seconds[0] + 1
+
+
 def test_blocks_and_references():
     page = "<html><body><article><h1>A  &amp;\n B</h1><p>one<b>two</b> &eacute;&#233;<br>three<p>four<script>x</script></article><footer>f</footer>"
     assert htmltext.extract([page], htmltext.train()) == ["A & B onetwo éé three four"]
