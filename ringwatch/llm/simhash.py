@@ -1,10 +1,12 @@
 """SimHash near-duplicates: exact links within a bit distance, and their components."""
 
 from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,9 +19,13 @@ WIDTH = 64
 SEED = 42
 #: Reference fingerprints of the distance tables.
 REFERENCES = 16
-#: Fingerprints compared with one another in one step; larger buckets are cut into parts of about this.
-PART = 512
-BLOCKS_PER_TASK = 2000
+#: Larger buckets are cut into parts of about this, every two of which meet in some task.
+PART = 1 << 14
+#: Fingerprints of one part that are compared with the other in one step.
+BLOCK = 512
+#: Comparisons, before any is discarded, that a task is given.
+PAIRS_PER_TASK = 1 << 29
+BUCKETS_PER_TASK = 2000
 #: A driver keeps no more tasks than this in hand; beyond it each of them compares more.
 MOST_TASKS = 100_000
 #: Shingles hashed before their bits are counted.
@@ -71,21 +77,54 @@ def fingerprints(text: Column, shingle: int) -> Column:
     return prints(text)
 
 
-def _close_pairs(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within ``bits``: pivot tables first, then the fingerprints themselves.
+def distance_table(fp: Column) -> list[Column]:
+    """The distances to all references, eight to a number: one byte each, the first lowest."""
+    distances = [
+        F.bit_count(fp.bitwiseXOR(F.lit(int(r)))).cast("bigint") for r in _references(REFERENCES).view(np.int64)
+    ]
+    packed = []
+    for at in range(0, REFERENCES, 8):
+        number = F.lit(0).cast("bigint")
+        for i, distance in enumerate(distances[at : at + 8]):
+            number = number.bitwiseOR(F.shiftleft(distance, 8 * i))
+        packed.append(number.alias(f"t{at // 8}"))
+    return packed
+
+
+@dataclass(frozen=True)
+class Part:
+    """Fingerprints with their distance tables, in the order of the first distance."""
+
+    prints: np.ndarray
+    table: np.ndarray
+
+    @classmethod
+    def of(cls, members: pa.StructArray) -> "Part":
+        fields = [members.field(i).to_numpy(zero_copy_only=False) for i in range(1 + REFERENCES // 8)]
+        table = np.column_stack(fields[1:]).astype("<i8").view(np.int8)
+        order = np.argsort(table[:, 0], kind="stable")
+        return cls(fields[0].view(np.uint64)[order], table[order])
+
+
+def _close_pairs(left: Part, right: Part, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within ``bits``, in steps: distance tables first, then the fingerprints themselves.
 
     By the triangle inequality two fingerprints differ by no less than their distances
-    to any reference do, so a pair goes as soon as one coordinate is too far apart.
+    to any reference do, so a pair goes as soon as one coordinate is too far apart. By the first
+    coordinate, in whose order both sides are, whole stretches go.
     """
-    references = _references(REFERENCES)
-    table_l = np.bitwise_count(left[:, None] ^ references[None, :]).astype(np.int8)
-    table_r = np.bitwise_count(right[:, None] ^ references[None, :]).astype(np.int8)
-    i, j = np.nonzero(np.abs(table_l[:, None, 0] - table_r[None, :, 0]) <= bits)
-    for k in range(1, REFERENCES):
-        near = np.abs(table_l[i, k] - table_r[j, k]) <= bits
-        i, j = i[near], j[near]
-    near = np.bitwise_count(left[i] ^ right[j]) <= bits
-    return i[near], j[near]
+    first = right.table[:, 0]
+    for at in range(0, len(left.prints), BLOCK):
+        table = left.table[at : at + BLOCK]
+        low, high = np.searchsorted(first, table[0, 0] - bits), np.searchsorted(first, table[-1, 0] + bits, side="right")
+        for start in range(low, high, BLOCK * 8):
+            near = slice(start, min(start + BLOCK * 8, high))
+            i, j = np.nonzero(np.abs(table[:, None, 0] - first[None, near]) <= bits)
+            for k in range(1, REFERENCES):
+                close = np.abs(table[i, k] - right.table[near][j, k]) <= bits
+                i, j = i[close], j[close]
+            close = np.bitwise_count(left.prints[at + i] ^ right.prints[start + j]) <= bits
+            yield at + i[close], start + j[close]
 
 
 def _smallest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -101,25 +140,24 @@ def _smallest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         labels = new
 
 
-def _connect(batches: Iterator[pd.DataFrame], bits: int) -> Iterator[pd.DataFrame]:
+def _connect(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     """For each part or pair of parts, a link from every linked fingerprint to the smallest it reaches."""
     for batch in batches:
-        found_a, found_b = [], []
-        for parts in batch["parts"]:
-            sides = [np.asarray(p, dtype=np.int64).view(np.uint64) for p in parts]
+        for row in batch["parts"]:
+            sides = [Part.of(side.values) for side in row.values]
             left, right = sides[0], sides[-1]
-            i, j = _close_pairs(left, right, bits)
-            nodes = left
-            if len(sides) == 2:
-                nodes, j = np.concatenate(sides), j + len(left)
-            labels = _smallest(len(nodes), i, j)
+            nodes = left.prints if len(sides) == 1 else np.concatenate([left.prints, right.prints])
+            shift = len(nodes) - len(right.prints)
+            labels = np.arange(len(nodes))
+            for i, j in _close_pairs(left, right, bits):
+                known = np.flatnonzero(labels != np.arange(len(nodes)))
+                if len(i):
+                    labels = _smallest(len(nodes), np.concatenate([known, i]), np.concatenate([labels[known], j + shift]))
             linked = np.flatnonzero(labels != np.arange(len(nodes)))
-            found_a.append(nodes[linked])
-            found_b.append(nodes[labels[linked]])
-        if found_a:
-            yield pd.DataFrame({
-                "a": np.concatenate(found_a).view(np.int64), "b": np.concatenate(found_b).view(np.int64)
-            })
+            if len(linked):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes[linked].view(np.int64)), pa.array(nodes[labels[linked]].view(np.int64))], names=["a", "b"]
+                )
 
 
 def _masks(bits: int) -> list[int]:
@@ -139,17 +177,19 @@ def close_links(prints: DataFrame, bits: int, scratch: Scratch, part: int = PART
     ``prints`` has distinct ``fp``. Fingerprints are only compared where they agree on
     two whole segments, which no pair within the distance escapes. A bucket of more
     than ``part`` fingerprints is cut into parts by hash, whose pairs are compared
-    one by one in any task, so no task holds a bucket; and from each pair of parts come
-    at most as many links as it has fingerprints, not all its close pairs.
+    one by one in any task, so no task holds a bucket; a fingerprint of a hot bucket is sent once for
+    every part, not for every other fingerprint. From each pair of parts come
+    at most as many links as it has fingerprints, not all its close pairs. The distance tables
+    are worked out once per fingerprint and bucket and travel with it.
     """
     keys = F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in _masks(bits)])
     members = prints.select("fp", F.posexplode(keys).alias("mask", "key"))
     buckets = members.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = scratch.cut(buckets, "buckets")
     split = members.join(buckets, ["mask", "key"]).select(
-        "mask", "key", "fp", F.ceil(F.col("n") / part).cast("int").alias("of")
+        "mask", "key", F.struct("fp", *distance_table(F.col("fp"))).alias("fp"), F.ceil(F.col("n") / part).cast("int").alias("of")
     )
-    own = F.pmod(F.xxhash64("fp"), "of").cast("int").alias("part")
+    own = F.pmod(F.xxhash64("fp.fp"), "of").cast("int").alias("part")
     blocks = split.groupBy("mask", "key", "of", own).agg(F.collect_list("fp").alias("fps"))
     blocks = scratch.cut(blocks, "blocks")
     whole = blocks.filter("of = 1").select(F.array("fps").alias("parts"))
@@ -162,11 +202,11 @@ def close_links(prints: DataFrame, bits: int, scratch: Scratch, part: int = PART
         .select("parts")
     )
     # A few bytes of fingerprints are much work, so tasks are cut by the number of comparisons, not by size.
-    of = F.ceil(F.col("n") / part)
-    steps = buckets.agg(F.sum(F.when(of > 1, of * (of + 1) / 2).otherwise(1))).first()[0]
-    tasks = min(1 + int(steps or 0) // BLOCKS_PER_TASK, MOST_TASKS)
+    n = F.col("n").cast("double")
+    work, count = buckets.agg(F.sum(n * n / 2), F.count(F.lit(1))).first()
+    tasks = min(1 + int(work or 0) // PAIRS_PER_TASK + count // BUCKETS_PER_TASK, MOST_TASKS)
     dealt = whole.unionByName(pairs).repartition(tasks)
-    return dealt.mapInPandas(lambda b: _connect(b, bits), "a long, b long").distinct()
+    return dealt.mapInArrow(lambda b: _connect(b, bits), "a long, b long").distinct()
 
 
 def near_duplicates(

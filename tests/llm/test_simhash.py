@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -114,9 +115,29 @@ def test_masks_cover():
     assert len(masks) == 15
 
 
-def test_tasks_follow_the_pairs_of_parts(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCKS_PER_TASK", 10)
+def test_tasks_follow_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRS_PER_TASK", 1000)
     links = simhash.close_links(spark.range(200).toDF("fp"), 4, Scratch(spark), part=10)
     plan = links._jdf.queryExecution().optimizedPlan().toString()
-    # Of 15 masks, 10 leave all 200 in one bucket of 20 parts, which is 210 pairs.
-    assert int(re.search(r"Repartition (\d+), true", plan)[1]) > 10 * 210 // 10
+    # Of 15 masks, 10 leave all 200 in one bucket, which is 20,000 pairs.
+    assert int(re.search(r"Repartition (\d+), true", plan)[1]) >= 10 * 20_000 // 1000
+
+
+def part_of(spark, prints):
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    rows = spark.createDataFrame(signed, "fp long").select("fp", *simhash.distance_table(F.col("fp"))).toArrow()
+    return simhash.Part.of(rows.combine_chunks().to_struct_array().chunk(0))
+
+
+@pytest.mark.parametrize("block", [3, 50, 512])
+def test_close_pairs_by_tables_and_steps(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    r = random.Random(11)
+    bases = [r.getrandbits(64) for _ in range(12)]
+    left, right = ([r.choice(bases) ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 5))) for _ in range(n)] for n in (140, 90))
+    a, b = part_of(spark, left), part_of(spark, right)
+    references = simhash._references(simhash.REFERENCES).tolist()
+    assert a.table.tolist() == [[(p ^ x).bit_count() for x in references] for p in a.prints.tolist()]
+    assert sorted(a.prints.tolist()) == sorted(left) and (np.diff(a.table[:, 0]) >= 0).all()
+    found = sorted((a.prints[i], b.prints[j]) for x, y in simhash._close_pairs(a, b, 4) for i, j in zip(x, y))
+    assert found == sorted((p, q) for p in left for q in right if (p ^ q).bit_count() <= 4)
