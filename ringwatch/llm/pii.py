@@ -16,7 +16,25 @@ ROUNDS = 8
 
 # What is looked for; every alternative decides at a character within a bounded
 # number of steps, so very long texts cost no more per character than short ones.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}"
+EMAIL = (
+    r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{M}\p{N}-]{1,63}+\.){1,8}\p{L}{2,24}"
+)
+# Account numbers; fixed values: the countries that have them. The check digits decide.
+IBAN_LANDS = (
+    "AD AE AL AT AZ BA BE BG BH BR BY CH CR CY CZ DE DK DO EE EG ES FI FO FR GB GE GI GL GR GT HR HU IE IL IQ IS IT "
+    "JO KW KZ LB LC LI LT LU LV LY MC MD ME MK MR MT MU NL NO PK PL PS PT QA RO RS SA SC SE SI SK SM ST SV TL TN TR "
+    "UA VA VG XK"
+).split()
+IBAN = (
+    rf"(?<![0-9A-Za-z])(?:{'|'.join(IBAN_LANDS)})[0-9]{{2}}(?:[0-9A-Z]{{11,30}}+"
+    r"|(?:\x20[0-9A-Z]{4}){2,7}(?:\x20[0-9A-Z]{1,3})?)(?![0-9A-Za-z])"
+)
+# Tokens that are known by how they begin, which stays.
+TOKEN_HEAD = r"(?:(?i:bearer)[\x20\t]{1,3}|AKIA|ASIA|gh[pousr]_|github_pat_|glpat-|sk-|xox[abprs]-)"
+TOKEN = (
+    r"(?<![0-9A-Za-z_-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|(?:gh[pousr]_|github_pat_|glpat-|sk-|xox[abprs]-)[0-9A-Za-z_-]{16,}+"
+    r"|(?i:bearer)[\x20\t]{1,3}(?=[^\s0-9]{0,255}+[0-9]|\S{40})[0-9A-Za-z._~+/=-]{16,}+)(?![0-9A-Za-z])"
+)
 # A value goes on to its closing quote or to white space, without an upper bound. Possessive
 # runs are read in a loop and never given back. An unquoted value ends before a quote that
 # closes something around it, before the next name in a list and before a tag; it needs a
@@ -33,10 +51,15 @@ SECRET = (
     rf"|(?![\x22'\\])(?=[^\s0-9]{{0,255}}+[0-9]|\S{{256}}){SECRET_TEXT})"
 )
 IPV4 = r"(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
+MONTH = (
+    r"(?:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sep(?:tember)?|Oct(?:ober)?"
+    r"|Nov(?:ember)?|Dec(?:ember)?)"
+)
 # A time may follow an ISO date.
 DATE = (
     r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=[Tt][0-9]{2}|[Zz](?![0-9A-Za-z])|(?![0-9A-Za-z/-]))"
-    r"|(?:[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9A-Za-z/-]))"
+    r"|(?:[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
+    rf"|[0-9]{{1,2}}\x20{MONTH},?\x20[0-9]{{4}}|{MONTH}\x20[0-9]{{1,2}},?\x20[0-9]{{4}})(?![0-9A-Za-z/-]))"
 )
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 # What a number behind a plus sign does not run into: a date, or a card.
@@ -61,12 +84,12 @@ CARD = (
     rf"(?:(?![\x20-](?:{DATE}|{SSN}|{PHONE}))[\x20-][0-9]++(?![A-Za-z]))*+"
 )
 KINDS = {
-    "email": EMAIL, "secret": SECRET, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD,
+    "email": EMAIL, "secret": SECRET, "token": TOKEN, "iban": IBAN, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "card": CARD,
     "local": LOCAL,
 }
 ANY = "|".join(f"(?:{pattern})" for pattern in KINDS.values())
 #: No alternative matches a text without one of these.
-NEEDED = r"[0-9@]|(?i:passw|pwd|secret|token|api[_-]?key)"
+NEEDED = r"[0-9@]|(?i:passw|pwd|secret|token|api[_-]?key|bearer)|gh[pousr]_|glpat-|sk-|xox[abprs]-"
 
 # The days that are taken for personal dates, and the area numbers
 # that are never issued.
@@ -81,16 +104,16 @@ def _whole(pattern: str) -> str:
     return rf"^(?:{pattern})$"
 
 
-def _digest(key: str, tag: str, turn: Column, value: Column, bits: int = 256) -> Column:
+def _digest(key: str | Column, tag: str, turn: Column, value: Column, bits: int = 256) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), turn.cast("string"), value), bits)
 
 
-def _number(key: str, tag: str, turn: Column, value: Column) -> Column:
+def _number(key: str | Column, tag: str, turn: Column, value: Column) -> Column:
     """52 bits of the keyed hash."""
     return F.conv(F.substring(_digest(key, tag, turn, value.cast("string")), 1, 13), 16, 10).cast("bigint")
 
 
-def feistel(left: Column, right: Column, lefts: Column, rights: Column, key: str, tag: str) -> Column:
+def feistel(left: Column, right: Column, lefts: Column, rights: Column, key: str | Column, tag: str) -> Column:
     """Struct ``l, r``: a keyed permutation of [0, lefts) x [0, rights)."""
     start = F.struct(left.cast("bigint").alias("l"), right.cast("bigint").alias("r"))
 
@@ -114,12 +137,12 @@ def _power(n: Column) -> Column:
     return F.pow(F.lit(10.0), n).cast("bigint")
 
 
-def _permuted_digits(digits: Column, key: str, tag: str) -> Column:
+def _permuted_digits(digits: Column, key: str | Column, tag: str | Column) -> Column:
     """As many digits again; up to 18 of them."""
     n = F.length(digits)
     half = F.floor(n / 2).cast("int")
     left, right = F.substr(digits, F.lit(1), half), F.substr(digits, half + 1, n - half)
-    named = F.concat(F.lit(f"{tag}/"), n.cast("string"))
+    named = F.concat_ws("/", F.lit(tag), n.cast("string"))
     start = F.struct(
         left.cast("bigint").alias("l"), right.cast("bigint").alias("r"), named.alias("tag"),
         half.alias("half"), (n - half).alias("rest"),
@@ -142,17 +165,17 @@ def _permuted_digits(digits: Column, key: str, tag: str) -> Column:
     return moved
 
 
-def _tagged(key: str, tag: Column, turn: Column, value: Column) -> Column:
+def _tagged(key: str | Column, tag: Column, turn: Column, value: Column) -> Column:
     hashed = F.sha2(F.concat_ws("|", F.lit(key), tag, turn.cast("string"), value.cast("string")), 256)
     return F.conv(F.substring(hashed, 1, 13), 16, 10).cast("bigint")
 
 
-def _laid_out(value: Column, digits: Column) -> Column:
-    """``value`` with its digits replaced in order by ``digits``."""
+def _laid_out(value: Column, digits: Column, replaced: str = "^[0-9]$") -> Column:
+    """``value`` with its digits, or what else is ``replaced``, replaced in order by ``digits``."""
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"), digits.alias("new"))
 
     def put(state: Column, c: Column) -> Column:
-        is_digit = c.rlike("^[0-9]$")
+        is_digit = c.rlike(replaced)
         taken = F.when(is_digit, F.substr(state["new"], state["at"], F.lit(1))).otherwise(c)
         return F.struct(
             F.concat(state["out"], taken).alias("out"),
@@ -172,7 +195,7 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add)
 
 
-def _card(value: Column, key: str) -> Column:
+def _card(value: Column, key: str | Column) -> Column:
     """All digits but the last are permuted, and the last set so that the number is valid again."""
     digits = _digits(value)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
@@ -249,14 +272,77 @@ def _cards_of(run: Column) -> Column:
     return F.transform(cut, lambda s: F.when(F.size(s["cards"]) > 0, laid(s)).otherwise(_pieces(run, False)))[0]
 
 
-def _phone(value: Column, key: str) -> Column:
-    """The country code stays."""
-    code = F.regexp_extract(value, r"^\+[0-9]{1,3}(?=[\x20.(-])", 0)
-    rest = F.substr(value, F.length(code) + 1)
-    return F.concat(code, _laid_out(rest, _permuted_digits(_digits(rest), key, "phone")))
+# The country codes of one and of two digits; all others have three.
+ONE_DIGIT_CODES = ["1", "7"]
+TWO_DIGIT_CODES = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98"
+).split()
+
+
+def _phone(value: Column, key: str | Column) -> Column:
+    """Another number of the same layout, the same for all layouts of one number.
+
+    The country code and the first digit behind it stay, as do a trunk zero and the digit behind it. Of
+    ten-digit numbers, with or without the code 1, the first digits of area and exchange stay.
+    """
+    def part(text: Column, start: int, size: int | None = None) -> Column:
+        return F.substr(text, F.lit(start), F.lit(size)) if size else F.substr(text, F.lit(start))
+
+    def moved(s: Column) -> Column:
+        digits = s["digits"]
+        n = F.length(digits)
+        code = (
+            F.when(part(digits, 1, 1).isin(ONE_DIGIT_CODES), part(digits, 1, 1))
+            .when(part(digits, 1, 2).isin(TWO_DIGIT_CODES), part(digits, 1, 2)).otherwise(part(digits, 1, 3))
+        )
+        ten = part(digits, 1, 1).isin(list("23456789")) & (n == 10) & ~s["plus"]
+        national = F.when((part(digits, 1, 1) == "1") & (n == 11), part(digits, 2)).when(ten, digits)
+
+        def of_ten(x: Column) -> Column:
+            body = _permuted_digits(F.concat(part(x, 2, 2), part(x, 5)), key, "phone/1")
+            fresh = F.transform(F.array(body), lambda y: F.concat(part(x, 1, 1), part(y, 1, 2), part(x, 4, 1), part(y, 3)))[0]
+            return F.concat(F.substr(digits, F.lit(1), n - 10), fresh)
+
+        kept = F.when(s["plus"], F.length(code) + 1).when(part(digits, 1, 1) == "0", 2).otherwise(1)
+        tag = F.concat(F.lit("phone/"), F.when(s["plus"], F.concat(F.lit("+"), code)).when(part(digits, 1, 1) == "0", "0").otherwise(""))
+        other = F.concat(F.substr(digits, F.lit(1), kept), _permuted_digits(F.substr(digits, kept + 1), key, tag))
+        return F.coalesce(F.when(national.isNotNull(), of_ten(national)), other)
+
+    start = F.struct(_digits(value).alias("digits"), value.startswith("+").alias("plus"))
+    return _laid_out(value, F.transform(F.array(start), moved)[0])
 
 
-def _ipv4(value: Column, key: str) -> Column:
+def mod97(text: Column) -> Column:
+    """The number that the text is, letters counting from A = 10, modulo 97."""
+    def add(rest: Column, c: Column) -> Column:
+        letter = F.instr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), c)
+        return F.when(letter > 0, (rest * 100 + letter + 9) % 97).otherwise((rest * 10 + c.cast("int")) % 97)
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit("."), 0), F.lit(0), add)
+
+
+def _iban(value: Column, key: str | Column) -> Column:
+    """The country stays; the rest is permuted within letters and digits, and the check digits are set anew."""
+    whole = F.replace(value, F.lit(" "), F.lit(""))
+    land, body = F.substr(whole, F.lit(1), F.lit(2)), F.substr(whole, F.lit(5))
+    valid = mod97(F.concat(body, F.substr(whole, F.lit(1), F.lit(4)))) == 1
+
+    def closed(new: Column) -> Column:
+        check = F.lpad((98 - mod97(F.concat(new, land, F.lit("00")))).cast("string"), 2, "0")
+        return F.concat(land, check, new)
+
+    fresh = F.transform(F.array(permuted_text(body, key, "iban", hexes=False)), closed)[0]
+    return F.when(valid, _laid_out(value, fresh, "^[0-9A-Z]$")).otherwise(value)
+
+
+def _token(value: Column, key: str | Column) -> Column:
+    """What stands after the beginning that tells what it is."""
+    head = F.regexp_extract(value, rf"^{TOKEN_HEAD}", 0)
+    return F.concat(head, permuted_text(F.substr(value, F.length(head) + 1), key, "secret"))
+
+
+def _ipv4(value: Column, key: str | Column) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda x: x.cast("bigint"))
     valid = F.forall(F.split(value, r"\."), lambda x: (x.cast("int") <= 255) & (x.cast("int").cast("string") == x))
     moved = feistel(
@@ -272,7 +358,7 @@ def _ipv4(value: Column, key: str) -> Column:
     return F.when(valid, fresh).otherwise(value)
 
 
-def _moved_day(number: Column, key: str) -> Column:
+def _moved_day(number: Column, key: str | Column) -> Column:
     """Another day of the domain, after the 12th of its month if this one is.
 
     The network is applied again until it comes to such a day, which permutes those
@@ -295,7 +381,7 @@ def _moved_day(number: Column, key: str) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(DAY_STEPS)), start, step, lambda s: s["n"])
 
 
-def _date(value: Column, key: str) -> Column:
+def _date(value: Column, key: str | Column) -> Column:
     """Days from 1900 to 2099, in the order of year, month and day that they are written in.
 
     With slashes the month is first unless that gives no date.
@@ -303,11 +389,24 @@ def _date(value: Column, key: str) -> Column:
     def read(layout: str) -> Column:
         return F.try_to_timestamp(value, F.lit(layout)).cast("date")
 
-    layout = (
-        F.when(value.contains("-"), "yyyy-MM-dd").when(value.contains("."), "dd.MM.yyyy")
-        .when(read("MM/dd/yyyy").isNotNull(), "MM/dd/yyyy").otherwise("dd/MM/yyyy")
-    )
-    layouts = ("yyyy-MM-dd", "dd.MM.yyyy", "MM/dd/yyyy", "dd/MM/yyyy")
+    slashed = [("^[0-9]{2}/[0-9]{2}/", "MM/dd/yyyy", "dd/MM/yyyy"), ("^[0-9]{1,2}/", "M/d/yyyy", "d/M/yyyy")]
+    plain = [
+        ("-", "yyyy-MM-dd"), (r"^[0-9]{2}\.[0-9]{2}\.", "dd.MM.yyyy"), (r"\.", "d.M.yyyy"),
+        ("^[0-9]{4}/[0-9]{2}/[0-9]{2}$", "yyyy/MM/dd"), ("^[0-9]{4}/", "yyyy/M/d"),
+    ]
+    layouts = []
+    for month, letters in (("MMM", "{2}"), ("MMMM", "{2,8}")):
+        for day, digits in (("dd", "{2}"), ("d", "{1}")):
+            for comma in (",", ""):
+                plain.append((f"^[0-9]{digits} [A-Z][a-z]{letters}{comma} ", f"{day} {month}{comma} yyyy"))
+                plain.append((f"^[A-Z][a-z]{letters} [0-9]{digits}{comma} ", f"{month} {day}{comma} yyyy"))
+    choice = None
+    for pattern, form in plain:
+        choice = F.when(value.rlike(pattern), form) if choice is None else choice.when(value.rlike(pattern), form)
+        layouts.append(form)
+    for pattern, first, second in slashed:
+        choice = choice.when(value.rlike(pattern), F.when(read(first).isNotNull(), first).otherwise(second))
+        layouts += [first, second]
 
     def replaced(s: Column) -> Column:
         number = s["number"]
@@ -321,12 +420,12 @@ def _date(value: Column, key: str) -> Column:
         )[0]
         return F.when(valid, written).otherwise(value)
 
-    day = F.coalesce(*[F.when(layout == x, read(x)) for x in layouts])
-    start = F.struct(F.datediff(day, F.lit(FIRST_DAY).cast("date")).alias("number"), layout.alias("layout"))
+    day = F.coalesce(*[F.when(choice == x, read(x)) for x in layouts])
+    start = F.struct(F.datediff(day, F.lit(FIRST_DAY).cast("date")).alias("number"), choice.alias("layout"))
     return F.transform(F.array(start), replaced)[0]
 
 
-def _ssn(value: Column, key: str) -> Column:
+def _ssn(value: Column, key: str | Column) -> Column:
     part = F.split(value, "-")
     area, group, serial = (part[i].cast("bigint") for i in range(3))
     valid = (area > 0) & (area < 900) & (area != SSN_SKIPPED) & (group > 0) & (serial > 0)
@@ -345,7 +444,14 @@ def _ssn(value: Column, key: str) -> Column:
 
 
 _HEX = "0123456789abcdef"
-_SETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789")
+# Letters that change places among themselves: ASCII, Latin, Greek and Cyrillic ones of each case.
+_SETS = (
+    "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
+    *("".join(chr(c) for c in range(a, z + 1) if chr(c).isalpha() and chr(c) not in "ªº×÷") for a, z in (
+        (0xDF, 0xFF), (0xC0, 0xDE), (0x3B1, 0x3C9), (0x391, 0x3A9), (0x430, 0x44F), (0x410, 0x42F),
+    )),
+    "".join(chr(c) for c in range(0x100, 0x180) if chr(c).islower()), "".join(chr(c) for c in range(0x100, 0x180) if chr(c).isupper()),
+)
 
 
 def _moved_on(c: Column, by: Column, is_hex: Column) -> Column:
@@ -360,8 +466,8 @@ def _moved_on(c: Column, by: Column, is_hex: Column) -> Column:
     return found.otherwise(c)
 
 
-def permuted_text(value: Column, key: str, tag: str) -> Column:
-    """Letters become letters of their case, digits digits, the rest stays; lower-case hex stays hex.
+def permuted_text(value: Column, key: str | Column, tag: str, hexes: bool = True) -> Column:
+    """Letters become letters of their case, digits digits, the rest stays; lower-case hex stays hex, unless ``hexes`` is false.
 
     A Feistel network on the halves of the text: a round moves every character of one
     half on by a number drawn from the other, which keeps each character's set.
@@ -370,7 +476,7 @@ def permuted_text(value: Column, key: str, tag: str) -> Column:
     half = F.floor(n / 2).cast("int")
     start = F.struct(
         F.substr(value, F.lit(1), half).alias("l"), F.substr(value, half + 1).alias("r"),
-        value.rlike(f"^[{_HEX}]+$").alias("is_hex"),
+        (value.rlike(f"^[{_HEX}]+$") if hexes else F.lit(False)).alias("is_hex"),
     )
 
     def shifted(text: Column, digest: Column, is_hex: Column) -> Column:
@@ -398,13 +504,13 @@ def permuted_text(value: Column, key: str, tag: str) -> Column:
     )
 
 
-def _email(value: Column, key: str) -> Column:
+def _email(value: Column, key: str | Column) -> Column:
     """The name before the @; the domain stays."""
     at = F.instr(value, "@")
     return F.concat(permuted_text(F.substr(value, F.lit(1), at - 1), key, "email"), F.substr(value, at))
 
 
-def _secret(value: Column, key: str) -> Column:
+def _secret(value: Column, key: str | Column) -> Column:
     """What stands after the equals sign or colon; marks behind an unquoted value are not part of it."""
     name = F.regexp_extract(value, rf"^{SECRET_NAME}(?:\\?[\x22'])?", 0)
     rest = F.substr(value, F.length(name) + 1)
@@ -413,10 +519,10 @@ def _secret(value: Column, key: str) -> Column:
     return F.concat(name, permuted_text(secret, key, "secret"), F.substr(rest, F.length(secret) + 1))
 
 
-def pseudonym(value: Column, key: str) -> Column:
+def pseudonym(value: Column, key: str | Column) -> Column:
     """The pseudonym of one found value; a number or date that is not valid stays as it is."""
     makers = {
-        "email": _email, "secret": _secret, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card,
+        "email": _email, "secret": _secret, "token": _token, "iban": _iban, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card,
         "local": _phone,
     }
     found = None
@@ -446,8 +552,8 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and the count of changes in ``n_replaced``.
 
     Replaced are e-mail names, IPv4 addresses, phone numbers, social security numbers,
-    payment card numbers with a valid check digit, dates from 1900 to 2099 and values
-    of passwords, tokens and keys. What looks like one but is not valid stays. ``key``
+    payment card numbers and IBANs with valid check digits, dates from 1900 to 2099, values
+    of passwords, tokens and keys, and tokens of common shapes. What looks like one but is not valid stays. ``key``
     is the secret: the same key gives the same pseudonyms, in all documents.
 
     A null text stays null and an empty one empty, with 0 changes. Whole texts are
@@ -455,7 +561,11 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     column ``n_replaced`` of ``docs`` is replaced, all others are kept.
     """
     column = F.col(f"`{text}`")
-    found, pieces, fresh = (free_name(docs, n) for n in ("_found", "_pieces", "_fresh"))
+    columns = docs.columns
+    found, pieces, fresh, secret = (free_name(docs, n) for n in ("_found", "_pieces", "_fresh", "_secret"))
+    # The key comes from a table of one value, so no plan shows it.
+    given = docs.sparkSession.createDataFrame([(key,)], "secret string").scalar()
+    docs = docs.withColumn(secret, given)
     hit = column.rlike(NEEDED)
     cut = docs.withColumn(found, F.when(hit, F.regexp_extract_all(column, F.lit(ANY), 0)))
     cut = cut.withColumn(found, F.when(F.size(found) > 0, F.col(found)))
@@ -464,11 +574,11 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
         _pieces(p, False), F.when(f.isNull(), _pieces(F.lit(""), False)).otherwise(values_of(f))
     ))))
     # A piece that stays has no pseudonym.
-    cut = cut.withColumn(fresh, F.transform(pieces, lambda x: F.when(x["hit"], pseudonym(x["t"], key))))
+    cut = cut.withColumn(fresh, F.transform(pieces, lambda x: F.when(x["hit"], pseudonym(x["t"], F.col(secret)))))
     texts = F.zip_with(pieces, fresh, lambda x, f: F.coalesce(f, x["t"]))
     changes = F.size(F.filter(F.zip_with(pieces, fresh, lambda x, f: x["t"] != f), lambda x: x))
     changed = F.when(F.col(found).isNotNull(), F.array_join(texts, "")).otherwise(column)
     return cut.select(
-        *[changed.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns if c.lower() != "n_replaced"],
+        *[changed.alias(c) if c == text else F.col(f"`{c}`") for c in columns if c.lower() != "n_replaced"],
         F.coalesce(F.when(F.col(found).isNotNull(), changes), F.lit(0)).cast("bigint").alias("n_replaced"),
     )
