@@ -69,6 +69,39 @@ def _scan(pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({GROUP: [pairs[GROUP].iloc[0]] * len(picked), "node": picked})
 
 
+def _decide(open_pairs: DataFrame, keys: list[str], scratch: Scratch) -> DataFrame:
+    """``keys, node, chosen`` of the nodes without lower neighbours, which are chosen, and of the chains on them.
+
+    A node with one lower neighbour is chosen if that one is not. So along a chain of such nodes choice follows
+    from the first of them: each points at its neighbour, with one turn between them, and in every
+    step at what that one points at, with the turns of both, which doubles the length that is passed.
+    """
+    conflict = F.col("lo") != F.col("hi")
+    lower = open_pairs.groupBy(*keys, F.col("hi").alias("node")).agg(
+        F.count_if(conflict).alias("n"), F.max(F.when(conflict, F.col("lo"))).alias("anchor")
+    )
+    lower = scratch.cut(lower, "lower")
+    heads = lower.filter("n = 0").select(*keys, "node")
+    pointers = lower.filter("n = 1").select(*keys, "node", "anchor", F.lit(1).alias("turns"))
+    while True:
+        pointers = scratch.cut(pointers, "pointers")
+        onward = pointers.select(
+            *keys, F.col("node").alias("anchor"), F.col("anchor").alias("next"), F.col("turns").alias("more")
+        )
+        moved = pointers.join(onward, [*keys, "anchor"])
+        if moved.isEmpty():
+            break
+        pointers = pointers.join(onward, [*keys, "anchor"], "left").select(
+            *keys, "node", F.coalesce("next", "anchor").alias("anchor"),
+            ((F.col("turns") + F.coalesce("more", F.lit(0))) % 2).alias("turns"),
+        )
+    hung = pointers.join(heads.withColumnRenamed("node", "anchor"), [*keys, "anchor"], "left_semi")
+    found = heads.withColumn("chosen", F.lit(True)).unionByName(
+        hung.select(*keys, "node", (F.col("turns") % 2 == 0).alias("chosen"))
+    )
+    return scratch.cut(found, "decided")
+
+
 def first_independent_set(
     ranked: DataFrame,
     pairs: DataFrame,
@@ -81,10 +114,11 @@ def first_independent_set(
     The conflicts of a batch, which lie among qualifying nodes only, are scanned in
     one task as long as they are at most ``scanned`` pairs, however long their chains
     are. A larger batch goes through rounds until it is as small: each round chooses
-    every open node without an open neighbour of lower rank and closes its
-    neighbours. The lowest open node of a batch is always chosen, so the rounds end;
-    only emptiness tests reach the driver. What stays sequential is a single batch of
-    more than that many conflicts in one long chain, which takes a round per link.
+    every open node without an open neighbour of lower rank, decides the chains that hang from
+    them, and closes the neighbours of all that are chosen. The lowest open node of a batch is always chosen, so
+    the rounds end; only emptiness tests reach the driver. A chain of any length takes one round, of as many
+    steps as its length has binary digits; a round is needed for each node with several
+    neighbours of lower rank that lie on one path.
     """
     scratch = scratch_for(ranked, scratch)
 
@@ -118,23 +152,16 @@ def first_independent_set(
         if large.isEmpty():
             return reduce(DataFrame.unionByName, chosen)
         open_pairs = scratch.cut(large, "large")
-        heads = (
-            open_pairs.groupBy(*keys, F.col("hi").alias("node"))
-            .agg(F.max(conflict).alias("blocked"))
-            .filter(~F.col("blocked"))
-            .select(*keys, "node")
-        )
+        decided = _decide(open_pairs, keys, scratch)
         silenced = (
             open_pairs.filter(conflict)
-            .join(heads.withColumnRenamed("node", "lo"), [*keys, "lo"], "left_semi")
+            .join(decided.filter("chosen").select(*keys, F.col("node").alias("lo")), [*keys, "lo"], "left_semi")
             .select(*keys, F.col("hi").alias("node"))
             .distinct()
+            .join(decided.select(*keys, "node"), [*keys, "node"], "left_anti")
         )
         closed = scratch.cut(
-            heads.withColumn("chosen", F.lit(True)).unionByName(
-                silenced.withColumn("chosen", F.lit(False))
-            ),
-            "closed",
+            decided.unionByName(silenced.withColumn("chosen", F.lit(False))), "closed"
         )
         chosen.append(closed.filter("chosen").select(*keys, "node"))
         if len(chosen) >= 16:
