@@ -27,11 +27,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
     ``spark.checkpoint.dir`` names it. Where that is unset the session's warehouse
-    folder is used, which all executors share as well; never a temporary folder.
+    folder is used; never a temporary folder. A warehouse on a machine's own disk is
+    shared by nobody, so on a cluster it is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        if not local and (root.startswith("file:") or "://" not in root):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share; {root} is one machine's own")
     return root.rstrip("/")
 
 
@@ -39,7 +43,8 @@ class Scratch:
     """Intermediate tables of one run, written to the shared checkpoint folder.
 
     A written table ends the lineage, survives the loss of any executor, is read
-    back column by column, and gives Spark real sizes to choose joins by.
+    back column by column, and gives Spark real sizes to choose joins by. Used in a
+    ``with`` statement it drops its tables at the end, when results built on them must have been consumed.
     """
 
     def __init__(self, spark: SparkSession):
@@ -53,6 +58,12 @@ class Scratch:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
+
     def drop(self) -> None:
         """Delete the tables; DataFrames built on them must be consumed by then."""
         jvm = self.spark.sparkContext._jvm

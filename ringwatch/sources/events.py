@@ -25,11 +25,23 @@ def read_topic_stream(spark: SparkSession, servers: str, topics: str | None = No
 
 
 def read_file_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """The file twin of a topic: one JSON record per line."""
+    """The file twin of a topic: one JSON record per line, with where it comes from as ``arrival``."""
     reader = spark.readStream.format("text")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(folder).select("value")
+    place = [f"_metadata.{c}" for c in ("file_modification_time", "file_path", "file_block_start")]
+    return reader.load(folder).select("value", F.struct(*place).alias("arrival"))
+
+
+def in_order_of_arrival(events: DataFrame, out: str) -> DataFrame:
+    """A batch of ``events`` with the column ``out``, by which they sort as they stand in their source.
+
+    ``arrival`` is the place in the source: topic, partition and offset, or file and block. The number
+    behind it orders the rows of a block, which a task reads in order. So the order is that of the source
+    however a repeated batch is split among tasks. Without ``arrival`` the number alone is the order.
+    """
+    number = F.monotonically_increasing_id().alias("number")
+    return events.withColumn(out, F.struct("arrival", number) if "arrival" in events.columns else number)
 
 
 def decode(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -16,6 +16,7 @@ from ringwatch.schemas import ALERT, OUTCOME
 from ringwatch.session import Scratch
 from ringwatch.sinks import tables
 from ringwatch.sinks.tables import Folder, close_blocks, closed_blocks, read_table, write_batch
+from ringwatch.sources.events import in_order_of_arrival
 
 # Fixed value: seconds between batches.
 TRIGGER = "10 seconds"
@@ -39,7 +40,7 @@ def make_batch_writer(
     """The ``foreachBatch`` function: detects, and replaces the batch in both tables.
 
     The batch's decoded events are written down once, with their order of arrival
-    unless ``seq`` names columns that give it; everything else reads that table.
+    (the place in the source, where the stream has it) unless ``seq`` names columns that give it; everything else reads that table.
     Alerts of the batch and one outcome row per non-empty batch are stored; a trigger
     without events stores nothing of either. Intermediate tables are dropped at the end.
     """
@@ -47,7 +48,7 @@ def make_batch_writer(
     def write(events: DataFrame, batch_id: int) -> None:
         scratch = Scratch(events.sparkSession)
         try:
-            arrived = events.withColumn("_arrival", F.monotonically_increasing_id())
+            arrived = in_order_of_arrival(events, "_arrival")
             kept = scratch.cut(arrived.withColumn(KEY, F.lit(batch_id).cast("bigint")), "events")
             found = detect(kept, [KEY], seq or ["_arrival"], params, detected_at, scratch=scratch)
             write_batch(found.alerts, alerts_path(out), batch_id)

@@ -49,8 +49,16 @@ def replay_tweets(files: DataFrame) -> DataFrame:
     return topic_records(tweets.tweets_to_interactions(posts).drop("position"), F.col("source_user"))
 
 
+def read_records(lines: DataFrame) -> DataFrame:
+    """``key`` and ``value`` of the lines of a file twin; other columns are kept."""
+    others = [c for c in lines.columns if c != "value"]
+    record = F.from_json("value", "key string, value string").alias("record")
+    return lines.select(*others, record).select(*others, "record.*")
+
+
 def write_records(records: DataFrame, folder: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """The file twin of a topic: one JSON record per line, each written exactly once."""
-    writer = records.select("value").writeStream.format("text").option("path", folder)
+    """The file twin of a topic: one JSON line ``{"key": ..., "value": ...}`` per record, each written exactly once."""
+    line = F.to_json(F.struct("key", "value"), {"ignoreNullFields": "false"}).alias("value")
+    writer = records.select(line).writeStream.format("text").option("path", folder)
     trigger = {"availableNow": True} if once else {"processingTime": "10 seconds"}
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

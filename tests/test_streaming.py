@@ -8,7 +8,7 @@ from ringwatch.operators.batches import batch_summary
 from ringwatch.schemas import ALERT, EVENT
 from ringwatch.sinks.tables import read_batch
 from ringwatch.sources import events as E
-from ringwatch.streaming import detection, replay, spikes, windows
+from ringwatch.streaming import detection, progress, replay, spikes, windows
 
 
 def star(hub, n, at):
@@ -130,13 +130,63 @@ def test_replay(spark, tmp_path):
     files = replay.stream_csv(spark, str(folder), ["Date", "Open", "Close"])
     out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
     replay.write_records(replay.replay_candles(files), out, cp).awaitTermination()
-    found = E.decode(spark.read.text(out)).collect()
-    assert sorted((r.symbol, r.timestamp, r.pumping) for r in found) == [("FOO", "d1", True), ("FOO", "d2", False)]
+    found = E.decode(replay.read_records(spark.read.text(out))).collect()
+    assert sorted((r.key, r.symbol, r.timestamp, r.pumping) for r in found) == [("FOO", "FOO", "d1", True), ("FOO", "FOO", "d2", False)]
     posts = tmp_path / "posts"
     posts.mkdir()
     (posts / "p.csv").write_text("username,text,date\nann,@bob @cat go,d\n")
     files = replay.stream_csv(spark, str(posts), ["username", "text", "date"], multiline=True)
     out, cp = str(tmp_path / "out2"), str(tmp_path / "cp2")
     replay.write_records(replay.replay_tweets(files), out, cp).awaitTermination()
-    found = E.decode(spark.read.text(out)).collect()
-    assert sorted((r.source_user, r.target_user) for r in found) == [("tw_ann", "tw_bob"), ("tw_ann", "tw_cat")]
+    found = E.decode(replay.read_records(spark.read.text(out))).collect()
+    assert sorted((r.key, r.source_user, r.target_user) for r in found) == [("tw_ann", "tw_ann", "tw_bob"), ("tw_ann", "tw_ann", "tw_cat")]
+
+
+def test_a_batch_in_other_splits_gives_equal_alerts(spark, tmp_path):
+    """Two rings that share a node: which one is found depends on the order of arrival."""
+    left, right = [f"l{i}" for i in range(4)] + ["mid"], ["mid"] + [f"r{i}" for i in range(4)]
+    rows = [
+        {"event_type": "social_interaction", "source_user": a, "target_user": b}
+        for ring in (right, left) for i, a in enumerate(ring) for b in ring[i + 1 :]
+    ]
+    put(tmp_path / "in", "a.json", rows[:12])
+    put(tmp_path / "in", "b.json", rows[12:])
+    seen = set()
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for i, (most, cost) in enumerate(((200, 0), (700, 0), (1 << 20, 0), (90, 0), (4000, 1 << 20))):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(most))
+        spark.conf.set("spark.sql.files.openCostInBytes", str(cost))
+        out = tmp_path / f"out{i}"
+        stream = E.decode(E.read_file_stream(spark, str(tmp_path / "in")))
+        detection.start_detection(stream, str(out), str(tmp_path / f"cp{i}"), once=True).awaitTermination()
+        found = detection.stored_alerts(spark, str(out)).collect()
+        seen.add(str(sorted((r.seed_node, r.nodes, r.node_count) for r in found)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(seen) == 1 and "mid" in seen.pop()
+
+
+def test_progress_without_further_jobs(spark, tmp_path):
+    data, out = tmp_path / "in", tmp_path / "out"
+    put(data, "a.json", star("h", 15, "2024-01-01") + price("2024-01-01"))
+    (data / "b.json").write_text("{broken\n" + json.dumps(price("2024-01-02")[0]) + "\n{also broken\n")
+    os.utime(data / "b.json", (1.7e9 + 99, 1.7e9 + 99))
+    listener = progress.BatchProgress()
+    spark.streams.addListener(listener)
+    try:
+        stream = progress.observed(E.decode(E.read_file_stream(spark, str(data), 1)))
+        detection.start_detection(stream, str(out), str(tmp_path / "cp"), once=True).awaitTermination()
+        batches = listener.wait_for("ring-detection", 2)
+        late = progress.observed(E.decode(E.read_file_stream(spark, str(data), 1)))
+        put(data, "c.json", star("z", 2, "2024-03-01"))
+        put(data, "d.json", star("y", 3, "2024-01-01"))
+        put(data, "e.json", star("x", 1, "2024-03-02"))
+        windows.start_window_detection(late, str(out), str(tmp_path / "cp2"), "1 day", "1 hour", once=True).awaitTermination()
+        found = listener.wait_for("window-detection", 5)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [(b["events"], b["social"], b["price"], b["malformed"]) for b in batches] == [(16, 15, 1, 0), (3, 0, 1, 2)]
+    stored_rows = {r.batch_id: r for r in detection.stored_outcomes(spark, str(out)).collect()}
+    assert {b["batch_id"]: (b["social"], b["price"]) for b in batches} == {n: (r.social_count, r.price_count) for n, r in stored_rows.items()}
+    # The star's parts of the closed day: a row per link of three late ones.
+    assert sum(b["late"] for b in found) == 3
