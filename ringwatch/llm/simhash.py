@@ -1,6 +1,6 @@
 """SimHash near-duplicates: exact links within a bit distance, and their components."""
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -20,7 +20,7 @@ SEED = 42
 #: Reference fingerprints of the distance tables.
 REFERENCES = 16
 #: Larger buckets are cut into parts of about this, every two of which meet in some task.
-PART = 1 << 14
+PART = 1 << 12
 #: Fingerprints of one part that are compared with the other in one step.
 BLOCK = 512
 #: Comparisons, before any is discarded, that a task is given.
@@ -77,18 +77,19 @@ def fingerprints(text: Column, shingle: int) -> Column:
     return prints(text)
 
 
-def distance_table(fp: Column) -> list[Column]:
-    """The distances to all references, eight to a number: one byte each, the first lowest."""
-    distances = [
-        F.bit_count(fp.bitwiseXOR(F.lit(int(r)))).cast("bigint") for r in _references(REFERENCES).view(np.int64)
-    ]
-    packed = []
-    for at in range(0, REFERENCES, 8):
-        number = F.lit(0).cast("bigint")
-        for i, distance in enumerate(distances[at : at + 8]):
-            number = number.bitwiseOR(F.shiftleft(distance, 8 * i))
-        packed.append(number.alias(f"t{at // 8}"))
-    return packed
+def distance_tables() -> list[Callable[[Column], Column]]:
+    """Functions of a fingerprint to its distances to eight references each: one byte each, the first lowest."""
+    def packed(references: np.ndarray) -> Callable[[Column], Column]:
+        def of(fp: Column) -> Column:
+            number = F.lit(0).cast("bigint")
+            for i, reference in enumerate(references.tolist()):
+                distance = F.bit_count(fp.bitwiseXOR(F.lit(reference))).cast("bigint")
+                number = number.bitwiseOR(F.shiftleft(distance, 8 * i))
+            return number
+
+        return of
+
+    return [packed(_references(REFERENCES).view(np.int64)[at : at + 8]) for at in range(0, REFERENCES, 8)]
 
 
 @dataclass(frozen=True)
@@ -99,8 +100,9 @@ class Part:
     table: np.ndarray
 
     @classmethod
-    def of(cls, members: pa.StructArray) -> "Part":
-        fields = [members.field(i).to_numpy(zero_copy_only=False) for i in range(1 + REFERENCES // 8)]
+    def of(cls, part: dict) -> "Part":
+        """From the lists ``fps`` and ``t0`` on, as numpy arrays or as lists."""
+        fields = [np.asarray(part[name], np.int64) for name in ("fps", *(f"t{i}" for i in range(REFERENCES // 8)))]
         table = np.column_stack(fields[1:]).astype("<i8").view(np.int8)
         order = np.argsort(table[:, 0], kind="stable")
         return cls(fields[0].view(np.uint64)[order], table[order])
@@ -117,8 +119,8 @@ def _close_pairs(left: Part, right: Part, bits: int) -> Iterator[tuple[np.ndarra
     for at in range(0, len(left.prints), BLOCK):
         table = left.table[at : at + BLOCK]
         low, high = np.searchsorted(first, table[0, 0] - bits), np.searchsorted(first, table[-1, 0] + bits, side="right")
-        for start in range(low, high, BLOCK * 8):
-            near = slice(start, min(start + BLOCK * 8, high))
+        for start in range(low, high, BLOCK):
+            near = slice(start, min(start + BLOCK, high))
             i, j = np.nonzero(np.abs(table[:, None, 0] - first[None, near]) <= bits)
             for k in range(1, REFERENCES):
                 close = np.abs(table[i, k] - right.table[near][j, k]) <= bits
@@ -144,7 +146,11 @@ def _connect(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Record
     """For each part or pair of parts, a link from every linked fingerprint to the smallest it reaches."""
     for batch in batches:
         for row in batch["parts"]:
-            sides = [Part.of(side.values) for side in row.values]
+            lists = row.values
+            sides = [
+                Part.of({lists.type[f].name: lists.field(f)[i].values.to_numpy() for f in range(lists.type.num_fields)})
+                for i in range(len(lists))
+            ]
             left, right = sides[0], sides[-1]
             nodes = left.prints if len(sides) == 1 else np.concatenate([left.prints, right.prints])
             shift = len(nodes) - len(right.prints)
@@ -187,11 +193,12 @@ def close_links(prints: DataFrame, bits: int, scratch: Scratch, part: int = PART
     buckets = members.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     buckets = scratch.cut(buckets, "buckets")
     split = members.join(buckets, ["mask", "key"]).select(
-        "mask", "key", F.struct("fp", *distance_table(F.col("fp"))).alias("fp"), F.ceil(F.col("n") / part).cast("int").alias("of")
+        "mask", "key", "fp", F.ceil(F.col("n") / part).cast("int").alias("of")
     )
-    own = F.pmod(F.xxhash64("fp.fp"), "of").cast("int").alias("part")
+    own = F.pmod(F.xxhash64("fp"), "of").cast("int").alias("part")
     blocks = split.groupBy("mask", "key", "of", own).agg(F.collect_list("fp").alias("fps"))
-    blocks = scratch.cut(blocks, "blocks")
+    tables = [F.transform("fps", table).alias(f"t{i}") for i, table in enumerate(distance_tables())]
+    blocks = scratch.cut(blocks.select("mask", "key", "of", "part", F.struct("fps", *tables).alias("fps")), "blocks")
     whole = blocks.filter("of = 1").select(F.array("fps").alias("parts"))
     other = F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("other")
     pairs = (

@@ -125,8 +125,9 @@ def test_tasks_follow_the_pairs(spark, monkeypatch):
 
 def part_of(spark, prints):
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
-    rows = spark.createDataFrame(signed, "fp long").select("fp", *simhash.distance_table(F.col("fp"))).toArrow()
-    return simhash.Part.of(rows.combine_chunks().to_struct_array().chunk(0))
+    tables = [table(F.col("fps")).alias(f"t{i}") for i, table in enumerate(simhash.distance_tables())]
+    rows = spark.createDataFrame(signed, "fps long").select("fps", *tables).toPandas()
+    return simhash.Part.of(rows)
 
 
 @pytest.mark.parametrize("block", [3, 50, 512])
