@@ -45,10 +45,11 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = langid.identify(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found, name = langid.identify(docs), langid.language_column(docs)
     return found.select(
         "doc_id", langid.is_held_out().alias("held_out"),
-        F.col("_language.lang").alias("lang_pred"), F.col("_language.score").alias("score"),
+        F.col(f"{name}.lang").alias("lang_pred"), F.col(f"{name}.score").alias("score"),
     )
 
 
