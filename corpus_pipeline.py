@@ -1,4 +1,8 @@
-"""A training corpus from ``documents``: five stages, each over all its predecessor kept."""
+"""A training corpus from ``documents``: five stages, each over all its predecessor kept.
+
+Every stage takes tables with nulls in any column, empty and very long texts, repeated rows and ids, no rows
+at all, and further columns of any name. The first four return the columns they were given, unchanged.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,29 +16,44 @@ MIN_LANGUAGE_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language; null texts and texts without letters go."""
+    """Documents in a learned language; null texts and texts without letters go.
+
+    Rows are judged one by one, so repeated ones stay or go together. If no labelled text has a letter, all go.
+    """
     found, name = langid.identify(docs), langid.language_column(docs)
     known = (F.col(f"{name}.lang") != langid.UNKNOWN) & (F.col(f"{name}.score") >= MIN_LANGUAGE_SCORE)
     return found.filter(known).drop(name)
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
+    """Of equal texts the document with the smallest id, null ids last; of rows that repeat it exactly one.
+
+    Null texts count as empty ones.
+    """
     return exact.drop_exact_duplicates(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints of 4-word shingles link at 4 bits."""
+    """One document of each group whose fingerprints of 4-word shingles link at 4 bits: that of the smallest id.
+
+    Null ids come last, of rows that repeat an id one stays. Texts without words are one group.
+    """
     return simhash.drop_near_duplicates(docs, shingle=4, bits=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
+    """Documents as often as the mix takes them, in training order; those without words are never taken.
+
+    A null source is a source. Rows that are equal throughout take each other's places.
+    """
     return mixing.mixed_documents(docs)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece ids of every whole text, and the text decoded from them."""
+    """SentencePiece ids of every whole text, and the text decoded from them: ``doc_id, n_tokens, token_ids, decoded``.
+
+    A null text has null ids and 0 of them, an empty one none. Every row has a row.
+    """
     return tokenised(docs)
 
 
