@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ringwatch.operators.batches import batch_summary, score_batches
 from ringwatch.operators.graph import compact_links, detect_stars, interaction_edges
-from ringwatch.operators.rings import detect_rings
+from ringwatch.operators.rings import SHOWN_NODES, detect_rings
 from ringwatch.params import DEFAULTS, Params
 from ringwatch.schemas import ALERT, CONFIRMED
 from ringwatch.session import Scratch, scratch_for
@@ -93,19 +93,20 @@ def detect(
     detected_at: Column | None = None,
     rings: bool = True,
     scratch: Scratch | None = None,
+    shown: int = SHOWN_NODES,
 ) -> Detection:
     """The whole pipeline over any number of batches.
 
     The events are read twice, once for the batch summary and once for the
     distinct links; the detectors work on the links alone. The keys travel as one
     struct, whose null fields compare as equal, so a batch with a null key is a batch
-    like any other. Links, alerts and scores are written down where they are used
+    like any other. Alerts list ``shown`` members of a ring; reports that need none take 0. Links, alerts and scores are written down where they are used
     more than once; the rounds of the ring detector need them as tables.
     """
     scratch = scratch_for(events, scratch)
     events = events.withColumn(BATCH, F.struct(*keys))
     links = compact_links(interaction_edges(events, [BATCH], seq), [BATCH])
-    return detect_links(links, batch_summary(events, [BATCH]), params, detected_at, rings, scratch)
+    return detect_links(links, batch_summary(events, [BATCH]), params, detected_at, rings, scratch, shown)
 
 
 def detect_links(
@@ -115,13 +116,14 @@ def detect_links(
     detected_at: Column | None,
     rings: bool,
     scratch: Scratch,
+    shown: int = SHOWN_NODES,
 ) -> Detection:
     """``detect`` from the distinct links and the summary of the batches, whose keys are the struct ``_batch``."""
     batch = [BATCH]
     links = scratch.cut(links, "links")
     found = detect_stars(links, batch, params.star_min_degree, params.star_ratio)
     if rings:
-        dense = detect_rings(links, batch, params.ring_min_size, params.ring_density, scratch=scratch)
+        dense = detect_rings(links, batch, params.ring_min_size, params.ring_density, scratch=scratch, shown=shown)
         found = found.unionByName(dense, allowMissingColumns=True)
     found = scratch.cut(found, "found")
     scored = scratch.cut(score_batches(summary, found, batch, params), "scored")

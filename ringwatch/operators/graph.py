@@ -28,19 +28,14 @@ def interaction_edges(events: DataFrame, keys: list[str], seq: list[str]) -> Dat
     )
 
 
-def gate_edges(
-    edges: DataFrame, keys: list[str], min_edges: int = DEFAULTS.min_edges, spread: int = 64
-) -> DataFrame:
+def gate_edges(edges: DataFrame, keys: list[str], min_edges: int = DEFAULTS.min_edges) -> DataFrame:
     """Edges of the batches that have at least ``min_edges`` of them.
 
-    The join runs against the few batches that fail, not the many that pass, and
-    is spread over ``spread`` parts of each batch, so that one large batch does
-    not end up in one task.
+    The join runs against the batches that fail, a row each. A large batch passes, so it is a hot key on the
+    left side alone, which adaptive execution splits.
     """
     failing = edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < min_edges)
-    failing = failing.select(*keys, F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_part"))
-    parted = edges.withColumn("_part", F.pmod(F.hash("src", "dst"), F.lit(spread)))
-    return parted.join(failing, [*keys, "_part"], "left_anti").drop("_part")
+    return edges.join(failing.select(*keys), keys, "left_anti")
 
 
 def compact_links(edges: DataFrame, keys: list[str]) -> DataFrame:

@@ -204,7 +204,10 @@ def detect_rings(
     scratch: Scratch | None = None,
     shown: int = SHOWN_NODES,
 ) -> DataFrame:
-    """Ring alerts from ``compact_links``; seeds in first-come order suppress their neighbours."""
+    """Ring alerts from ``compact_links``; seeds in first-come order suppress their neighbours.
+
+    ``nodes`` lists the first ``shown`` members; with 0 it is null, which spares the joins that find them.
+    """
     scratch = scratch_for(links, scratch)
     pairs = scratch.cut(undirected_edges(links, keys), "pairs")
     egos = scratch.cut(ego_density(pairs, keys, min_size, density, split, scratch), "egos")
@@ -212,8 +215,11 @@ def detect_rings(
     seeds = first_independent_set(ranked, pairs, keys, scratch)
     alerts = egos.join(seeds, [*keys, "node"], "left_semi")
     severity = F.when(F.col("density") > CRITICAL_DENSITY, "CRITICAL").otherwise("HIGH")
-    shown_names = shown_members(ring_members(seeds, pairs, keys), keys, shown)
-    return alerts.join(shown_names, [*keys, "node"]).select(
+    if shown:
+        alerts = alerts.join(shown_members(ring_members(seeds, pairs, keys), keys, shown), [*keys, "node"])
+    else:
+        alerts = alerts.withColumn("nodes", F.lit(None).cast("array<string>"))
+    return alerts.select(
         *keys,
         F.lit(RING).alias("alert_type"),
         severity.alias("severity"),

@@ -126,7 +126,7 @@ def _detection(spark, sf_dir, **options) -> A.Detection:
 
 
 def batch_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _detection(spark, sf_dir).scored
+    scored = _detection(spark, sf_dir, shown=0).scored
     return scored.select(_text("day"), "star_count", "ring_count", "score", "confidence")
 
 
@@ -155,7 +155,7 @@ def _alert_form(alerts: DataFrame) -> DataFrame:
 
 
 def _quality(spark, sf_dir):
-    scored = _detection(spark, sf_dir).scored
+    scored = _detection(spark, sf_dir, shown=0).scored
     outcomes = B.batch_outcomes(scored, ["day"])
     return scored, outcomes, quality.running_quality(outcomes, "day")
 
@@ -307,11 +307,12 @@ def ohlcv_csv_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alerts(spark, sf_dir):
-    return _detection(spark, sf_dir).alerts
+    """The alerts for reports that do not list the members of rings."""
+    return _detection(spark, sf_dir, shown=0).alerts
 
 
 def latest_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _alert_form(reports.latest_alerts(_alerts(spark, sf_dir), TIES))
+    return _alert_form(reports.latest_alerts(_detection(spark, sf_dir).alerts, TIES))
 
 
 def alert_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
