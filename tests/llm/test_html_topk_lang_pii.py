@@ -1,8 +1,10 @@
 import html as entities
+import math
 import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -205,6 +207,45 @@ def test_language_cases(spark):
     assert {r._language.lang for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def plain_grams(text):
+    """Buckets of the pairs and triples of a text, one character after another, in whole numbers."""
+    codes = [32, 32]
+    for c in text:
+        codes.append(ord(c.lower()[0]) if ord(c) < 0x10000 and c.isalpha() else 32 if ord(c) < 0x10000 else ord(c))
+    full, buckets = (1 << 64) - 1, []
+    for three, two, one in zip(codes, codes[1:], codes[2:]):
+        pair = (one * 0x9E3779B1 + two * 0x85EBCA77) & full
+        pair ^= pair >> 29
+        triple = (pair * 0xC2B2AE3D + three * 0x27D4EB2F + 1) & full
+        triple ^= triple >> 31
+        buckets += [pair % langid.BUCKETS, triple % langid.BUCKETS]
+    return buckets
+
+
+def test_language_against_a_plain_naive_bayes(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()] + [(10_000, "Ünïcode ΑΒΓ 日本 𝒳𝒴 tail", None), (10_001, "a", None)]
+    train = [(t, lang) for i, t, lang in rows if lang is not None and t and zlib.crc32(str(i).encode()) % 4 != 2]
+    sizes, counts = Counter(lang for _, lang in train), {lang: Counter() for _, lang in train}
+    for text, lang in train:
+        counts[lang].update(plain_grams(text))
+    total = {lang: sum(c.values()) + langid.BUCKETS for lang, c in counts.items()}
+
+    def wanted(text):
+        grams = plain_grams(text)
+        log = {
+            lang: math.log(sizes[lang] / len(train)) + sum(math.log((c[g] + 1) / total[lang]) for g in grams) for lang, c in counts.items()
+        }
+        best = max(sorted(log), key=log.get)
+        return best, 1 / sum(math.exp(x - log[best]) for x in log.values())
+
+    found = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=1 << 40).collect()
+    for r in found:
+        if r.text and any(c.isalpha() for c in r.text):
+            lang, score = wanted(r.text)
+            assert r._language.lang == lang and r._language.score == pytest.approx(score, abs=1e-3)
+
+
 def test_long_texts_are_scored_in_slices(monkeypatch):
     r = np.random.default_rng(0)
     table = np.asfortranarray(r.normal(size=(langid.BUCKETS, 3)).astype(np.float32))
